@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, token_counts
+from tidemark.llm import bpe, exact_dedup, quality, token_counts
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,6 +14,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": bpe.op1_bpe,
         "op4_token_counts": token_counts.op4_token_counts,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
+        "op9_quality": quality.op9_quality,
     }
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import bpe, exact_dedup, quality, token_counts, toxicity
+from tidemark.llm import bpe, exact_dedup, near_dedup, quality, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -16,6 +16,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_quality": quality.op9_quality,
+        "op10_near_dedup": near_dedup.op10_near_dedup,
     }
 
 

@@ -194,29 +194,30 @@ def decontaminate(
     item_id_col: str = "item_id",
     item_text_col: str = "text",
     keep_text: bool = True,
+    names: tuple[str, str] = ("items", "contaminated"),
 ) -> DataFrame:
-    """`docs` with columns `items` (sorted ids of the overlapped items) and `contaminated`, put last.
+    """`docs` with columns `items` (sorted ids of the overlapped items) and `contaminated`, or other `names`, put last.
 
     Input columns of these names give way; without keep_text the texts stay behind. Words are compared
     in lower case and without the marks around them. Null and empty texts overlap nothing; an empty
     benchmark marks nothing; items of fewer than LEAST_WORDS words, or with a null id, never match.
     Items with equal texts are all named. Rows don't shuffle; repeated rows come back repeated.
     """
-    clean = docs.select(*[c for c in docs.columns if c.lower() not in ("items", "contaminated")])
+    clean = docs.select(*[c for c in docs.columns if c.lower() not in {n.lower() for n in names}])
     item_kind = benchmark.schema[item_id_col].dataType
     blocks = blocks_of(benchmark.where(benchmark[item_id_col].isNotNull()), item_id_col, item_text_col)
     out = clean
     passes = blocks or [pickle.dumps(make_block([]))]
     for k, block in enumerate(passes):
-        out = _pass(out, block, text_col, item_kind, keep_text or k + 1 < len(passes))
+        out = _pass(out, block, text_col, item_kind, keep_text or k + 1 < len(passes), names)
     return out
 
 
-def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, keep_text: bool) -> DataFrame:
-    given = [c for c in docs.columns if c not in ("items", "contaminated")]
+def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, keep_text: bool, added: tuple[str, str]) -> DataFrame:
+    given = [c for c in docs.columns if c not in added]
     back = [c for c in given if keep_text or c != text_col]
     schema = StructType(
-        [*(docs.schema[c] for c in back), StructField("items", ArrayType(item_kind)), StructField("contaminated", BooleanType())]
+        [*(docs.schema[c] for c in back), StructField(added[0], ArrayType(item_kind)), StructField(added[1], BooleanType())]
     )
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -224,12 +225,12 @@ def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, k
 
         block = _block(pickled)
         names = batch.schema.names
-        before = batch.column(names.index("items")).to_pylist() if "items" in names else [()] * len(batch)
+        before = batch.column(names.index(added[0])).to_pylist() if added[0] in names else [()] * len(batch)
         found = block.matches(bytes_of(batch, text_col))
         items = [sorted({*b, *(block.ids[i] for i in f)}) for b, f in zip(before, found, strict=True)]
         new = [pa.array(items, pa.list_(to_arrow_type(item_kind))), pa.array([bool(i) for i in items])]
         old = [batch.column(names.index(c)) for c in back]
-        return pa.RecordBatch.from_arrays([*old, *new], names=[*back, "items", "contaminated"])
+        return pa.RecordBatch.from_arrays([*old, *new], names=[*back, *added])
 
     return docs.mapInArrow(per_text(text_col, work, 4 << 20), schema)
 

@@ -22,17 +22,34 @@ def is_set(bitmap: str, at: Column) -> Column:
     return F.getbit(byte.cast("long"), F.pmod(at, F.lit(8)).cast("int")) == 1
 
 
-def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """Rows whose id may be among `ids` (its one column): all that are, and few others."""
+def _bitmaps(ids: DataFrame) -> DataFrame:
     h = F.xxhash64(F.col(ids.columns[0]))
-    bitmaps = (
+    return (
         ids.select(block(h).alias("_block"), bit(h).alias("_bit"))
         .groupBy("_block")
         .agg(F.bitmap_construct_agg("_bit").alias("_bitmap"))
     )
+
+
+def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id may be among `ids` (its one column): all that are, and few others."""
     own = F.xxhash64(id_col)
     return (
-        rows.join(F.broadcast(bitmaps), block(own) == F.col("_block"))
+        rows.join(F.broadcast(_bitmaps(ids)), block(own) == F.col("_block"))
         .where(is_set("_bitmap", bit(own)))
         .select(*rows.columns)
     )
+
+
+def without_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id isn't among `ids` (its one column). Rows that the filter rules out don't shuffle."""
+    own = F.xxhash64(rows[id_col])
+    name = "_maybe_gone"
+    while name in rows.columns:
+        name += "_"
+    marked = rows.join(F.broadcast(_bitmaps(ids)), block(own) == F.col("_block"), "left").select(
+        *[rows[c] for c in rows.columns], F.coalesce(is_set("_bitmap", bit(own)), F.lit(False)).alias(name)
+    )
+    clear, maybe = marked.where(~F.col(name)).drop(name), marked.where(F.col(name)).drop(name)
+    gone = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
+    return clear.unionByName(maybe.join(gone, maybe[id_col] == gone["_gone"], "left_anti"))

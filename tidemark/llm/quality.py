@@ -213,13 +213,14 @@ def quality_scores(
     text_col: str = "text",
     threshold: float = THRESHOLD,
     keep_text: bool = True,
+    names: tuple[str, str] = ("score", "predicted"),
 ) -> DataFrame:
-    """`docs` with columns `score` (0 to 1) and `predicted` (score >= threshold) put last.
+    """`docs` with columns `score` (0 to 1) and `predicted` (score >= threshold), or other `names`, put last.
 
     Whole texts are scored; null and empty ones too (all features 0). Input columns of these two
     names give way, and without keep_text the texts stay behind. Rows neither shuffle nor change their order; repeated rows score alike.
     """
-    kept = [c for c in docs.columns if c.lower() not in ("score", "predicted")]
+    kept = [c for c in docs.columns if c.lower() not in {n.lower() for n in names}]
     source = docs.select(*kept)
     back = [c for c in kept if keep_text or c != text_col]
     fields = [docs.schema[c] for c in back]
@@ -229,9 +230,9 @@ def quality_scores(
         score = model.score(x)
         new = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
         old = [batch.column(c) for c in back]
-        return pa.RecordBatch.from_arrays([*old, *new], names=[*back, "score", "predicted"])
+        return pa.RecordBatch.from_arrays([*old, *new], names=[*back, *names])
 
-    schema = StructType([*fields, StructField("score", DoubleType()), StructField("predicted", IntegerType())])
+    schema = StructType([*fields, StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
     return source.mapInArrow(per_text(text_col, work), schema)
 
 

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, token_counts, toxicity
 
 
@@ -18,6 +19,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_quality": quality.op9_quality,
         "op10_near_dedup": near_dedup.op10_near_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 

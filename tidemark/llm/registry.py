@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
-from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, quality, token_counts, toxicity
+from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, pii, quality, token_counts, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_bpe": bpe.op1_bpe,
         "op4_token_counts": token_counts.op4_token_counts,
         "op5_decontaminate": decontaminate.op5_decontaminate,
+        "op6_pii": pii.op6_pii,
         "op7_toxicity": toxicity.op7_toxicity,
         "op8_exact_dedup": exact_dedup.op8_exact_dedup,
         "op9_quality": quality.op9_quality,

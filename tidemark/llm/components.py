@@ -51,3 +51,26 @@ def components(links: DataFrame) -> DataFrame:
         before = now
     roots = edges.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(roots)
+
+
+def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """Components of nodes labelled so far once further links (a, b) are added: (node, label).
+
+    Only the links between components go through the turns.
+    """
+    known = labels.select(F.col("node").alias("_node"), "label")
+
+    def named(frame: DataFrame, column: str) -> DataFrame:
+        found = frame.join(known, frame[column] == known["_node"], "left")
+        return found.withColumn(column, F.coalesce("label", column)).drop("_node", "label")
+
+    between = written(named(named(links, "a"), "b").where("a <> b"), "edges")
+    if between.isEmpty():
+        return labels
+    above = components(between)
+    nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    both = labels.unionByName(
+        nodes.join(known, nodes["node"] == known["_node"], "left_anti").select("node", F.col("node").alias("label"))
+    )
+    up = above.select(F.col("node").alias("label"), F.col("label").alias("_up"), F.lit(1).alias("_n"))
+    return join_groups(both, up, "label", "_n", "node").select("node", F.coalesce("_up", "label").alias("label"))

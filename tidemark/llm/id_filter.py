@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Blocks of 32,768 bits: 2**26 bits, 8 MiB broadcast, whatever the number of ids.
-BLOCKS, BLOCK_BITS = 2048, 32768
+#: Blocks of 32,768 bits: 2**24 bits, 2 MiB broadcast, whatever the number of ids.
+BLOCKS, BLOCK_BITS = 512, 32768
 
 
 def block(h: Column, blocks: int = BLOCKS) -> Column:

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.components import components
+from tidemark.llm.components import components, merged
 from tidemark.llm.id_filter import only_ids
 from tidemark.llm.pieces import bytes_of, per_text
 from tidemark.llm.scratch import written
@@ -171,14 +171,17 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
     known = members.join(labels, members["rep"] == labels["node"], "left").select(
         "key", "rep", F.coalesce("label", "rep").alias("label")
     )
-    first = F.min(F.struct("rep", "label"))["label"]
-    spread = known.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"), first.alias("home"),
-        F.min("label").alias("low"), F.max("label").alias("high"),
-    ).where("low < high")
-    sized = join_groups(known, spread.select("key", "n", "home"), "key", "n", "rep").where("home is not null")
-    outside = sized.where("label <> home").groupBy("key").agg(F.count(F.lit(1)).alias("out"))
-    placed = join_groups(sized, outside, "key", "out", "rep")
+    parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("least"))
+    spread = (
+        parts.groupBy("key")
+        .agg(
+            F.sum("c").alias("n"), F.min_by("label", "least").alias("home"),
+            F.min_by("c", "least").alias("inside"), F.count(F.lit(1)).alias("labels"),
+        )
+        .where("labels > 1")
+        .select("key", "n", "home", (F.col("n") - F.col("inside")).alias("out"))
+    )
+    placed = join_groups(known, spread, "key", "n", "rep").where("home is not null")
     rows_of = F.ceil(F.col("out") / BLOCK).cast("int")
     cols_of = F.ceil(F.col("n") / BLOCK).cast("int")
     column = F.pmod(F.xxhash64("rep"), cols_of).cast("int")
@@ -261,12 +264,9 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     stars = shared.where("least < rep").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
     links = written(confirmed(likely(stars, reps), docs, id_col, text_col), "links")
     labels = components(links)
-    rest = apart_pairs(shared.select("key", "rep"), labels, reps)
-    rest = rest.join(links, ["a", "b"], "left_anti").join(stars, ["a", "b"], "left_anti")
+    rest = apart_pairs(shared.select("key", "rep"), labels, reps).join(stars, ["a", "b"], "left_anti")
     more = written(confirmed(rest, docs, id_col, text_col), "links")
-    joined = components(
-        links.select("a", "b").unionByName(more)
-    )
+    joined = merged(labels, more)
     resolved = reps.join(joined, reps["rep"] == joined["node"], "left").select(
         "set_key", "n", F.coalesce("label", "rep").alias("component")
     )

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -45,15 +45,13 @@ def _redact(text: str | None) -> str | None:
         return None
 
 
-@F.pandas_udf(T.ArrayType(T.StringType()))
-def _scan_texts(texts: pd.Series) -> pd.Series:
-    return texts.map(_scan)
+def _scan_texts(texts: Column) -> Column:
+    return F.arrow_udf(lambda a: pa.array([_scan(x) for x in a.to_pylist()], pa.list_(pa.string())), T.ArrayType(T.StringType()))(texts)
 
 
-@F.pandas_udf(T.StringType())
-def redacted(texts: pd.Series) -> pd.Series:
-    """Redacted JSON texts; for quarantined rows only."""
-    return texts.map(_redact)
+def redacted(texts: str | Column) -> Column:
+    """Redacted JSON texts, in Arrow batches; for quarantined rows only."""
+    return F.arrow_udf(lambda a: pa.array([_redact(x) for x in a.to_pylist()], pa.string()), T.StringType())(texts)
 
 
 def prohibited_keys(raw: Column, exact: bool = True) -> Column:

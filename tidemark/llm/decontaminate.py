@@ -24,7 +24,7 @@ from pyspark.sql.types import ArrayType, BooleanType, DataType, StructField, Str
 
 from tidemark.llm.pieces import bytes_of, per_text
 
-#: An overlap: so many equal words in so many in a row. Shorter items: the same share of the whole item.
+#: An overlap: so many equal words in so many in a row.
 WINDOW, LEAST_EQUAL = 13, 10
 #: Word positions that each mask reads.
 MASKS = (
@@ -38,8 +38,7 @@ MASKS = (
     (0, 5, 6, 7, 8, 9),
     (0, 3, 4, 5, 6, 9),
 )
-SPAN = 10
-#: Items of fewer words than SPAN match word for word; of fewer than this, never.
+#: Items of fewer words than WINDOW match word for word; of fewer than this, never.
 LEAST_WORDS = 5
 #: Bytes of benchmark text in a block, and bits of a hash that pick a slot of the first test.
 BLOCK_BYTES, SLOT_BITS = 8 << 20, 22
@@ -136,7 +135,7 @@ class Block:
 def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
     """Whether the item, laid at `offset` of the document, has a window of enough equal words."""
     window = min(WINDOW, len(item))
-    least = LEAST_EQUAL if len(item) >= WINDOW else len(item) if len(item) < SPAN else -(-LEAST_EQUAL * len(item) // WINDOW)
+    least = LEAST_EQUAL if len(item) >= WINDOW else len(item)
     first, last = max(0, -offset), min(len(item), len(doc) - offset)
     if last - first < least:
         return False
@@ -148,12 +147,12 @@ def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
 
 def make_block(rows: list[tuple[object, bytes]]) -> Block:
     words = [word_hashes(t) for _, t in rows]
-    short = sorted({len(w) for w in words if LEAST_WORDS <= len(w) < SPAN})
+    short = sorted({len(w) for w in words if LEAST_WORDS <= len(w) < WINDOW})
     masks = [*MASKS, *(tuple(range(n)) for n in short)]
     hashes, items, places = [], [], []
     for number, mask in enumerate(masks):
         for i, w in enumerate(words):
-            if (len(w) >= SPAN) if number < len(MASKS) else len(w) == len(mask):
+            if (len(w) >= WINDOW) if number < len(MASKS) else len(w) == len(mask):
                 s = seeds(w, mask, number)
                 hashes.append(s)
                 items.append(np.full(len(s), i, dtype=np.int64))

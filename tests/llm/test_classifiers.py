@@ -43,8 +43,9 @@ def test_quality_edges(spark):
     none = spark.createDataFrame([], "doc_id long, quality int")
     model = Q.fit_from(df, none)
     assert [r.score for r in Q.quality_scores(df, model).collect()] == [0.5] * 4
-    one = spark.createDataFrame([(2, 1), (1, None)], "doc_id long, quality int")
-    assert Q.fit_from(df, one).bias > 0
+    one = spark.createDataFrame([*((i, 1) for i in range(3, 12)), (1, None)], "doc_id long, quality int")
+    more = df.unionByName(spark.createDataFrame([(i, "words", 0.0) for i in range(3, 12)], df.schema))
+    assert Q.fit_from(more, one).bias > 0
     assert Q.quality_scores(df.where("doc_id = 9"), model).count() == 0
     assert df.where(held_out("doc_id")).where("doc_id is null").count() == 0
 

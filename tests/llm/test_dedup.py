@@ -159,7 +159,7 @@ def test_hot_join_and_filters(spark, monkeypatch):
     for kind in ("long", "string"):
         got = join_groups(rows.withColumn("k", F.col("k").cast(kind)), groups.withColumn("k", F.col("k").cast(kind)), "k", "n", "id")
         assert got.count() == 500 and got.where("n is null").count() == rows.where("k = 7").count()
-        assert got.where("n is not null").agg(F.sum(F.lit(1) / F.col("n"))).first()[0] == groups.count()
+        assert round(got.where("n is not null").agg(F.sum(F.lit(1) / F.col("n"))).first()[0], 6) == groups.count()
     ids = spark.createDataFrame([(3,), (4,), (999,)], "x long")
     assert {3, 4} <= {r.id for r in only_ids(rows, "id", ids).collect()}
     assert without_ids(rows, "id", ids).count() == 498

@@ -30,25 +30,24 @@ def _small_star(edges: DataFrame) -> DataFrame:
     return out.where("a < b").distinct()
 
 
+def _are_stars(edges: DataFrame) -> bool:
+    """Whether every node is either a centre or hung on exactly one."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("a").alias("n"), F.lit(0).alias("hung")), F.struct(F.col("b").alias("n"), F.lit(1).alias("hung")))).alias("e"))
+    seen = ends.groupBy("e.n").agg(F.sum("e.hung").alias("hung"), F.min("e.hung").alias("least"))
+    return seen.where((F.col("hung") > 1) | ((F.col("hung") == 1) & (F.col("least") == 0))).isEmpty()
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, label) for every node of the links (a, b): the label is the smallest node of its component.
 
-    Each turn is written to the shared folder; it ends when a turn changes nothing. The nodes that
+    Each turn is written to the shared folder; it ends when only stars are left. The nodes that
     are their own label are among the rows.
     """
     edges = links.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = written(edges, "edges")
 
-    def mark(e: DataFrame) -> tuple:
-        return tuple(e.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.xxhash64("b", "a").cast("decimal(20,0)"))).first())
-
-    before = mark(edges)
-    while True:
+    while not _are_stars(edges):
         edges = written(_small_star(_large_star(edges)), "edges")
-        now = mark(edges)
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("a").alias("node")).distinct().select("node", F.col("node").alias("label"))
     return edges.select(F.col("b").alias("node"), F.col("a").alias("label")).unionByName(roots)
 

@@ -1,8 +1,10 @@
 """MinHash near-deduplication with odd sketches, exact at the threshold.
 
-Each shingle set gets 128 MinHash values. Bands of four make bucket keys; the values, folded into a
-512-bit parity bitmap, make the odd sketch, whose XOR population count estimates the similarity of a
-candidate pair. Pairs that pass it are confirmed on full sets.
+Each shingle set gets 128 MinHash values; bands of four make bucket keys. Its MinHash samples under one
+more function, the values below a power-of-two bound that leaves at most 512 (all of a smaller set), are
+folded into a parity bitmap, the odd sketch, and those below half the bound into another. The XOR
+population count of two sketches with the same bound estimates how much the samples differ, so closely
+that few pairs below the threshold pass. Those that pass are confirmed on full sets.
 
 Equal sets are one class from the start. Buckets are not expanded into pairs: each member meets only
 the bucket's leaders, and links join classes into components. Only members of a bucket that are then
@@ -17,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, merged
@@ -35,8 +37,8 @@ RUN = 512
 #: MinHash values, as bands of rows: a pair of similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
 SAMPLES = BANDS * ROWS
-#: Bits of an odd sketch, and the estimate below which a pair is no candidate: 5 standard deviations under 0.75.
-SKETCH_BITS, LEAST_ESTIMATE = 512, 0.55
+#: Most samples in an odd sketch, its bits, and the standard deviations that an estimate may be off.
+SKETCH_SAMPLES, SKETCH_BITS, DEVIATIONS = 512, 1024, 5.0
 #: Links are pairs with PER * intersection >= SHARE * union.
 SHARE, PER = 75, 100
 
@@ -69,20 +71,72 @@ def band_keys(values: np.ndarray) -> np.ndarray:
     return keys.view(np.int64)
 
 
-def odd_sketch(values: np.ndarray) -> np.ndarray:
-    """SKETCH_BITS parities of where the samples fall, as signed 64-bit words."""
-    at = (values.astype(np.uint64) + np.uint64(1)) * _BIT_FACTORS
-    at = (at ^ (at >> np.uint64(32))) % np.uint64(SKETCH_BITS)
-    parity = (np.bincount(at.astype(np.int64), minlength=SKETCH_BITS) & 1).astype(np.uint8)
-    return np.packbits(parity, bitorder="little").view(np.int64)
-
-
-def estimate(a: Column, b: Column) -> Column:
-    """Similarity by the XOR of two odd sketches: 1 + n/(4k) ln(1 - 2|xor|/n); -1 beyond what it can tell."""
-    words = SKETCH_BITS // 64
-    bits = sum((F.bit_count(a[i].bitwiseXOR(b[i])) for i in range(words)), F.lit(0))
-    inside = 1 - 2 * bits / F.lit(float(SKETCH_BITS))
-    return F.when(inside > 0, 1 + SKETCH_BITS / (4.0 * SAMPLES) * F.log(inside)).otherwise(-1.0)
+def odd_sketch(shingles: np.ndarray) -> tuple[int, list[int], np.ndarray]:
+    """Of a sorted set: the bound (a power of two, as how often 2**64 is halved), how many samples are below
+    it and below its half, and the parities of where either fall, as signed 64-bit words."""
+    halvings = 0
+    n = len(shingles)
+    while n > SKETCH_SAMPLES:
+        halvings += 1
+        n = int(np.searchsorted(shingles, np.uint64(2 ** (64 - halvings))))
+    half = int(np.searchsorted(shingles, np.uint64(2 ** (63 - halvings))))
+    at = ((shingles[:n] * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(54)).astype(np.int64)
+    words = []
+    for part in (at, at[:half]):
+        parity = (np.bincount(part, minlength=SKETCH_BITS) & 1).astype(np.uint8)
+        words.append(np.packbits(parity, bitorder="little").view(np.int64))
+    return halvings, [n, half], np.concatenate(words)
+
+
+def most_bits(samples: np.ndarray, halvings: np.ndarray) -> np.ndarray:
+    """The most bits in which the sketches of a link differ. samples: of both, together.
+
+    Sets differ by as much as the threshold allows; samples of sets may by chance differ more, and so
+    may the number of odd bits: DEVIATIONS of both together.
+    """
+    share = SHARE / PER
+    apart = samples * (1 - share) / (1 + share)
+    even = np.exp(-2 * apart / SKETCH_BITS)
+    sampled = np.sqrt(share * (1 - share) * (1 + share) / np.maximum(samples, 1)) * samples * 2 / (1 + share) ** 2
+    chance = np.hypot(np.where(halvings > 0, sampled * even, 0.0), apart / np.sqrt(SKETCH_BITS) + 1)
+    return np.floor(SKETCH_BITS / 2 * (1 - even) + DEVIATIONS * chance)
+
+
+class Sketches:
+    """Sizes and odd sketches of many sets, as arrays."""
+
+    def __init__(self, sizes: np.ndarray, halvings: np.ndarray, samples: np.ndarray, words: np.ndarray):
+        self.sizes, self.halvings, self.samples = sizes, halvings, samples
+        self.words = words.view(np.uint64).reshape(len(sizes), 2, SKETCH_BITS // 64)
+
+    def pick(self, which) -> Sketches:
+        return Sketches(self.sizes[which], self.halvings[which], self.samples[which], self.words[which])
+
+    def likely(self, i: int, others: Sketches) -> np.ndarray:
+        """Whether set i may be linked with each of the others: by the sizes, and at the same bound by the sketches."""
+        mine = int(self.halvings[i])
+        top = np.maximum(others.halvings, mine)
+        ok = (top - mine <= 1) & (top - others.halvings <= 1)
+        ok &= PER * np.minimum(others.sizes, self.sizes[i]) >= SHARE * np.maximum(others.sizes, self.sizes[i])
+        at = np.flatnonzero(ok)
+        a, b = top[at] - mine, top[at] - others.halvings[at]
+        bits = np.bitwise_count(self.words[i, a] ^ others.words[at, b]).sum(axis=1)
+        samples = self.samples[i, a] + others.samples[at, b]
+        ok[at] = bits <= most_bits(samples, top[at])
+        return ok
+
+
+SKETCH_COLUMNS = ("n_shingles", "halvings", "samples", "sketch")
+
+
+def arrays(batch: pa.RecordBatch) -> Sketches:
+    found = {n: batch.column(batch.schema.names.index(n)) for n in SKETCH_COLUMNS}
+    flat = lambda c: c.flatten().to_numpy(zero_copy_only=False)
+    rows = len(batch)
+    return Sketches(
+        found["n_shingles"].to_numpy(zero_copy_only=False), found["halvings"].to_numpy(zero_copy_only=False),
+        flat(found["samples"]).reshape(rows, 2), np.ascontiguousarray(flat(found["sketch"])).reshape(rows, -1),
+    )
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -90,33 +144,43 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        n, keys, bands, sketch = [], [], [], []
+        n, keys, bands, halvings, samples, words = [], [], [], [], [], []
         for text in bytes_of(batch, "_text"):
             found = shingle_set(text)
             n.append(len(found))
             keys.append(xxhash.xxh3_128_hexdigest(found.tobytes()))
-            values = minhash(found)
-            bands.append(band_keys(values))
-            sketch.append(odd_sketch(values))
+            bands.append(band_keys(minhash(found)))
+            for column, x in zip((halvings, samples, words), odd_sketch(found), strict=True):
+                column.append(x)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.string()),
-             pa.array(bands, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-            names=["id", "n_shingles", "set_key", "bands", "sketch"],
+            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())),
+             pa.array(halvings, pa.int32()), pa.array(samples, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.int64()))],
+            names=["id", "n_shingles", "set_key", "bands", "halvings", "samples", "sketch"],
         )
 
     source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
     return source.mapInArrow(
         per_text("_text", work, 4 << 20),
-        f"id {kind}, n_shingles long, set_key string, bands array<long>, sketch array<long>",
+        f"id {kind}, n_shingles long, set_key string, bands array<long>, "
+        "halvings int, samples array<int>, sketch array<long>",
     )
 
 
 def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
     """The pairs whose odd sketches let them be links."""
-    left = reps.select(F.col("rep").alias("a"), F.col("sketch").alias("sketch_a"))
-    right = reps.select(F.col("rep").alias("b"), F.col("sketch").alias("sketch_b"))
-    both = pairs.join(left, "a").join(right, "b")
-    return both.where(estimate(F.col("sketch_a"), F.col("sketch_b")) >= LEAST_ESTIMATE).select("a", "b")
+    side = lambda x: reps.select(F.col("rep").alias(x), F.struct(*SKETCH_COLUMNS).alias(f"_{x}"))
+    both = pairs.join(side("a"), "a").join(side("b"), "b")
+    kind = dict(pairs.dtypes)["a"]
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not len(batch):
+                continue
+            left, right = (arrays(pa.RecordBatch.from_struct_array(batch.column(i))) for i in (2, 3))
+            ok = np.array([left.likely(i, right.pick(slice(i, i + 1)))[0] for i in range(len(batch))])
+            yield batch.select([0, 1]).filter(pa.array(ok))
+
+    return both.select("a", "b", "_a", "_b").mapInArrow(check, f"a {kind}, b {kind}")
 
 
 def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -190,32 +254,27 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
     apart = placed.where("label <> home").select("key", "rep", "label", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
     cells = (
         every.unionByName(apart)
-        .join(reps.select("rep", "sketch"), "rep")
+        .join(reps.select("rep", *SKETCH_COLUMNS), "rep")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "rep")
-        .select("key", "i", "j", "side", "rep", "label", "sketch")
+        .select("key", "i", "j", "side", "rep", "label", *SKETCH_COLUMNS)
     )
     kind = dict(members.dtypes)["rep"]
-    least_inside = float(np.exp((LEAST_ESTIMATE - 1) * 4 * SAMPLES / SKETCH_BITS))
-    most_bits = int(np.floor((1 - least_inside) / 2 * SKETCH_BITS + 1e-9))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cell, ids, names, bits = None, [], [], []
+        cell = None
 
         def out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            side = batch.column(3).to_numpy()
-            rep, label = batch.column(4).to_numpy(), batch.column(5).to_numpy()
-            sketch = np.stack(batch.column(6).to_numpy(zero_copy_only=False)).view(np.uint64)
-            left = side == 0
-            rep_a, label_a, sketch_a = rep[left], label[left], sketch[left]
-            rep_b, label_b, sketch_b = rep[~left], label[~left], sketch[~left]
-            for x in range(len(rep_a)):
-                distance = np.bitwise_count(sketch_b ^ sketch_a[x]).sum(axis=1)
-                near = np.flatnonzero((distance <= most_bits) & (label_b != label_a[x]))
-                if len(near):
+            rep, label, left = batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(3).to_numpy() == 0
+            found = arrays(batch)
+            here, others = found.pick(left), found.pick(~left)
+            rep_b, label_b = rep[~left], label[~left]
+            for x, (mine, name) in enumerate(zip(rep[left], label[left], strict=True)):
+                near = here.likely(x, others) & (label_b != name)
+                if near.any():
                     other = rep_b[near]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.minimum(other, rep_a[x])), pa.array(np.maximum(other, rep_a[x]))], names=["a", "b"]
+                        [pa.array(np.minimum(other, mine)), pa.array(np.maximum(other, mine))], names=["a", "b"]
                     )
 
         held: list[pa.RecordBatch] = []
@@ -252,7 +311,7 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     full = table.where("n_shingles > 0 and id is not null")
     classes = full.groupBy("set_key").agg(
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"),
-        F.first("bands").alias("bands"), F.first("sketch").alias("sketch"),
+        F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in SKETCH_COLUMNS],
     )
     reps = written(classes, "classes")
     buckets = reps.select("rep", F.explode("bands").alias("key"))

@@ -8,7 +8,7 @@ import numpy as np
 import xxhash
 
 #: Words whose hashes a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 400_000
 WIDTH = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -70,10 +71,21 @@ def unknown_keys(raw: Column, allowed: tuple[str, ...]) -> Column:
     return F.array_except(F.json_object_keys(raw), F.array(*[F.lit(k) for k in allowed]))
 
 
-def _text_of(raw: Column, field: str) -> Column:
-    """The field if it is a JSON string, else null."""
-    part = F.try_variant_get(F.try_parse_json(raw), f"$.{field}", "variant")
-    return F.when(F.schema_of_variant(part) == "STRING", F.get_json_object(raw, f"$.{field}"))
+def _once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """body of a value that is worked out once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
+def _texts(raw: Column, fields: tuple[str, ...]) -> Column:
+    """A struct of the top-level fields that are JSON strings; others are null. One parse."""
+    parsed = F.from_json(raw, ", ".join(f"{f} variant" for f in fields))
+
+    def strings(v: Column) -> Column:
+        return F.struct(
+            *[F.when(F.schema_of_variant(v[f]) == "STRING", F.try_variant_get(v[f], "$", "string")).alias(f) for f in fields]
+        )
+
+    return _once(parsed, strings)
 
 
 _ISO = r"^\d{4}-\d{2}-\d{2}(?:[T ]\d{2}:\d{2}(?::\d{2}(?:\.\d{1,6})?)?)?(?:[zZ]|[+-]\d{2}:\d{2})?$"
@@ -86,12 +98,16 @@ def _time_reason(text: Column, field: str) -> Column:
 
 def producer_reason(raw: Column, key_bytes: int = 32, sources: list[str] | None = None, exact: bool = True) -> Column:
     """Why a producer's JSON text is rejected, the first reason in the contract's order; null if it isn't."""
-    field = {f: _text_of(raw, f) for f in M.REQUIRED}
-    keys = F.json_object_keys(raw)
-    required = F.array(*[F.lit(f) for f in M.REQUIRED])
-    bad_keys = F.size(unknown_keys(raw, (*M.REQUIRED, *M.OPTIONAL))) > 0
-    bad_keys = bad_keys | (F.size(F.array_except(required, keys)) > 0)
-    prohibited = prohibited_keys(raw, exact)
+    facts = F.struct(
+        F.json_object_keys(raw).alias("keys"), _texts(raw, M.REQUIRED).alias("f"), prohibited_keys(raw, exact).alias("prohibited")
+    )
+    return _once(facts, lambda s: _reason(s["keys"], s["f"], s["prohibited"], key_bytes, sources or M.source_ids()))
+
+
+def _reason(keys: Column, field: Column, prohibited: Column, key_bytes: int, sources: list[str]) -> Column:
+    names = lambda values: F.array(*[F.lit(v) for v in values])
+    bad_keys = F.size(F.array_except(keys, names((*M.REQUIRED, *M.OPTIONAL)))) > 0
+    bad_keys = bad_keys | (F.size(F.array_except(names(M.REQUIRED), keys)) > 0)
 
     def broken(name: str, pattern: str) -> Column:
         return field[name].isNull() | ~field[name].rlike(pattern)
@@ -107,7 +123,7 @@ def producer_reason(raw: Column, key_bytes: int = 32, sources: list[str] | None
         F.when(not_in("schema_version", (M.SCHEMA_VERSION,)), "schema_version"),
         F.when(broken("event_id", M.IDENTIFIER), "invalid_event_id"),
         F.when(broken("source_id", M.IDENTIFIER), "invalid_source_id"),
-        F.when(not_in("source_id", sources or M.source_ids()), "unknown_source"),
+        F.when(not_in("source_id", sources), "unknown_source"),
         F.when(enums, "invalid_enum"),
         F.when(field["user_id"].isNull() | (field["user_id"] == ""), "invalid_user_id"),
         F.when(F.lit(key_bytes < 32), "token_key_too_short"),

@@ -20,6 +20,9 @@ from tidemark.llm.warc import read_warc, write_warc
     ("<div id=sidebar><p>" + "aside words " * 30 + "</p></div><div class=content><p>" + "main text, " * 9 + "</p></div>", ("main text, " * 9).strip()),
     ("<body><div><p>" + "Text of the page. " * 9 + "</p><form>Name <input></form><div class='comments'><p>" + "reader says " * 40 + "</p></div></div>", ("Text of the page. " * 9).strip()),
     ("<script>if (a<b) '</p>'</script><style>p{}</style><p>x", "x"), ("<!-- <p>no</p> --><p>yes", "yes"), ("<p>a < b &lt; c &#233;", "a < b < c é"),
+    ("<div class='page with-sidebar'><h1>Head</h1><p>Body text.</p></div>", "Head\nBody text."),
+    ("<header><h1>Site</h1></header><div class='post'><header><h1>Title</h1></header><p>" + "A text. " * 9 + "</p></div>", "Title\n" + ("A text. " * 9).strip()),
+    ("<article><p>" + "Main words. " * 9 + "</p></article><section class='comments'><article class='comment'><p>reader</p></article></section>", ("Main words. " * 9).strip()),
     ("<ul><li>one<li>two</ul>", "one\ntwo"), ("<p>cut off <a href='x", "cut off"),
 ])
 def test_main_text(page, text):

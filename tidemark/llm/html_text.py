@@ -44,6 +44,8 @@ BESIDE = re.compile(
     r"search|login|disqus)(?=$|[\s_-]|\d)",
     re.I,
 )
+#: Words in a class, id or role of what holds the article.
+GOOD = re.compile(r"(?:^|[\s_-])(?:article|post|entry|content|story|main)(?=$|[\s_-]|body|text)", re.I)
 #: Elements that can be the main text as a whole; paragraphs and smaller ones can't.
 CONTAINERS = frozenset(
     "article blockquote body center details div dl fieldset figure main ol section table tbody td ul".split()
@@ -76,6 +78,7 @@ class Node:
 
     tag: str
     beside: bool = False
+    good: bool = False
     parts: list = field(default_factory=list)
     chars: int = 0
     tags: int = 0
@@ -85,13 +88,26 @@ class Node:
     total: float = 0.0
 
 
-def _beside(tag: str, attributes: str) -> bool:
-    if tag in NEVER:
-        return True
-    if not attributes or tag in ("body", "html", "article", "main"):
-        return False
-    names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes))
-    return bool(names and BESIDE.search(names)) or bool(_HIDDEN.search(attributes))
+def _judged(node: Node, attributes: str, path: list[Node]) -> None:
+    """Mark an element that stands beside the article, or holds it, by its name and attributes."""
+    if node.tag in ("body", "html"):
+        return
+    names = " ".join(a or b or c for a, b, c in _NAMED.findall(attributes)) if attributes else ""
+    node.good = node.tag in ("article", "main") or bool(names and GOOD.search(names))
+    if node.tag in NEVER or (attributes and _HIDDEN.search(attributes)):
+        node.beside = True
+    elif node.tag == "header":  # of the page, not of the article
+        node.beside = not any(n.good for n in path)
+    elif node.tag not in ("article", "main"):
+        node.beside = bool(names and BESIDE.search(names))
+    elif names:
+        node.beside = bool(re.search(r"(?:^|[\s_-])(?:comments?|reply|replies)(?=$|[\s_-]|\d)", names, re.I))
+    if node.tag in ("h1", "main") and not node.beside:
+        # What holds the headline is no sidebar, whatever it is called.
+        for n in reversed(path):
+            if n.tag in NEVER or n.tag == "header":
+                break
+            n.beside = False
 
 
 class _Path:
@@ -167,7 +183,8 @@ def tree(page: str) -> Node:
             path.cut(depth)  # a block ends an open paragraph, with what is open in it
         if tag in ENDS and (depth := path.last(*ENDS[tag])):
             path.cut(depth)
-        node = Node(tag, _beside(tag, attributes))
+        node = Node(tag)
+        _judged(node, attributes, path.nodes)
         path.nodes[-1].parts.append(node)
         if tag in RAW:
             end = _ENDS_RAW[tag].search(page, at)

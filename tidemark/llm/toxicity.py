@@ -28,8 +28,12 @@ from tidemark.llm.pieces import bytes_of, per_text
 THRESHOLD = 0.7
 #: Nearest examples that vote, examples in a block, terms in the index.
 NEAREST, BLOCK, TERMS = 41, 64, 4096
+#: Blocks scored in one step.
+AT_ONCE = 8
 #: Lengths of word beginnings, and rows of a class that must have a term.
 BEGINNINGS, LEAST_ROWS = (4, 5, 6, 7, 8), 3
+#: How much more often toxic rows must have a term than clean ones, and the least z value of the difference.
+LEAST_LIFT, LEAST_Z = 3.0, 4.0
 #: Pieces that a worker remembers.
 REMEMBERED = 600_000
 
@@ -105,11 +109,11 @@ def choose_terms(texts: list[bytes], y: list[int], most: int = TERMS) -> list[st
     scored = []
     for term in rows[1]:
         a, b = rows[1][term], rows[0][term]
-        if a < LEAST_ROWS:
+        if a < LEAST_ROWS or a * zeros < LEAST_LIFT * b * ones:
             continue
         p = (a + b) / (ones + zeros)
         z = (a / ones - b / zeros) / math.sqrt(p * (1 - p) * (1 / ones + 1 / zeros) + 1e-12)
-        if z >= 4:
+        if z >= LEAST_Z:
             scored.append((-z, term))
     return [t for _, t in sorted(scored)[:most]]
 
@@ -138,16 +142,23 @@ class BlockMaxIndex:
         if not len(numbers) or not self.n:
             return []
         bounds = weights @ self.top[numbers]
-        best: list[tuple[float, int]] = []
-        for b in np.argsort(-bounds, kind="stable").tolist():
-            if bounds[b] <= 0 or (len(best) == k and bounds[b] < best[-1][0] - 1e-12):
-                break
-            cosines = weights @ self.lists[self.row[numbers, b]]
-            floor = best[-1][0] - 1e-12 if len(best) == k else 0.0
-            near = np.flatnonzero((cosines > 0) & (cosines >= floor))
-            best += [(float(cosines[i]), b * BLOCK + i) for i in near.tolist() if b * BLOCK + i != skip]
-            best = sorted(best, key=lambda x: (-round(x[0], 12), x[1]))[:k]
-        return best
+        order = np.argsort(-bounds, kind="stable")
+        order = order[bounds[order] > 0]
+        rows = self.row[numbers]
+        cosines, examples = np.zeros(0), np.zeros(0, dtype=np.int64)
+        for start in range(0, len(order), AT_ONCE):
+            blocks = order[start : start + AT_ONCE]
+            if len(cosines) == k:
+                blocks = blocks[bounds[blocks] >= cosines[-1] - 1e-12]
+                if not len(blocks):
+                    break
+            found = np.tensordot(weights, self.lists[rows[:, blocks]], 1).ravel()
+            names = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
+            near = np.flatnonzero((found > 0) & (names != skip))
+            cosines, examples = np.append(cosines, found[near]), np.append(examples, names[near])
+            best = np.lexsort((examples, -np.round(cosines, 12)))[:k]
+            cosines, examples = cosines[best], examples[best]
+        return list(zip(cosines.tolist(), examples.tolist(), strict=True))
 
 
 @dataclass

@@ -91,15 +91,16 @@ def odd_sketch(shingles: np.ndarray) -> tuple[int, list[int], np.ndarray]:
 def most_bits(samples: np.ndarray, halvings: np.ndarray) -> np.ndarray:
     """The most bits in which the sketches of a link differ. samples: of both, together.
 
-    Sets differ by as much as the threshold allows; samples of sets may by chance differ more, and so
-    may the number of odd bits: DEVIATIONS of both together.
+    Values that differ set no more bits than they are. Whole sets differ by as much as the threshold allows;
+    samples may by chance differ more, by DEVIATIONS.
     """
     share = SHARE / PER
     apart = samples * (1 - share) / (1 + share)
-    even = np.exp(-2 * apart / SKETCH_BITS)
-    sampled = np.sqrt(share * (1 - share) * (1 + share) / np.maximum(samples, 1)) * samples * 2 / (1 + share) ** 2
-    chance = np.hypot(np.where(halvings > 0, sampled * even, 0.0), apart / np.sqrt(SKETCH_BITS) + 1)
-    return np.floor(SKETCH_BITS / 2 * (1 - even) + DEVIATIONS * chance)
+    chance = np.sqrt(share * (1 - share) * (1 + share) / np.maximum(samples, 1)) * samples * 2 / (1 + share) ** 2
+    sampled = apart + DEVIATIONS * chance
+    even = np.exp(-2 * sampled / SKETCH_BITS)
+    expected = SKETCH_BITS / 2 * (1 - even) + DEVIATIONS * (sampled / np.sqrt(SKETCH_BITS) + 1)
+    return np.floor(np.where(halvings > 0, np.minimum(sampled, expected), apart) + 1e-9)
 
 
 class Sketches:
@@ -250,14 +251,14 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
     cols_of = F.ceil(F.col("n") / BLOCK).cast("int")
     column = F.pmod(F.xxhash64("rep"), cols_of).cast("int")
     row = F.pmod(F.xxhash64("rep", F.lit(1)), rows_of).cast("int")
-    every = placed.select("key", "rep", "label", F.lit(1).alias("side"), column.alias("j"), F.explode(F.sequence(F.lit(0), rows_of - 1)).alias("i"))
-    apart = placed.where("label <> home").select("key", "rep", "label", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
+    every = placed.select("key", "rep", "label", "home", F.lit(1).alias("side"), column.alias("j"), F.explode(F.sequence(F.lit(0), rows_of - 1)).alias("i"))
+    apart = placed.where("label <> home").select("key", "rep", "label", "home", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
     cells = (
         every.unionByName(apart)
         .join(reps.select("rep", *SKETCH_COLUMNS), "rep")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "rep")
-        .select("key", "i", "j", "side", "rep", "label", *SKETCH_COLUMNS)
+        .select("key", "i", "j", "side", "rep", "label", "home", *SKETCH_COLUMNS)
     )
     kind = dict(members.dtypes)["rep"]
 
@@ -268,9 +269,10 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
             rep, label, left = batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(3).to_numpy() == 0
             found = arrays(batch)
             here, others = found.pick(left), found.pick(~left)
-            rep_b, label_b = rep[~left], label[~left]
+            rep_b, label_b, home = rep[~left], label[~left], batch.column(6).to_numpy()
             for x, (mine, name) in enumerate(zip(rep[left], label[left], strict=True)):
                 near = here.likely(x, others) & (label_b != name)
+                near &= (label_b == home[~left]) | (rep_b > mine)  # two that are apart from home meet twice
                 if near.any():
                     other = rep_b[near]
                     yield pa.RecordBatch.from_arrays(
@@ -321,10 +323,10 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "buckets",
     )
     stars = shared.where("least < rep").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(confirmed(likely(stars, reps), docs, id_col, text_col), "links")
+    links = written(confirmed(written(likely(stars, reps), "pairs"), docs, id_col, text_col), "links")
     labels = components(links)
     rest = apart_pairs(shared.select("key", "rep"), labels, reps).join(stars, ["a", "b"], "left_anti")
-    more = written(confirmed(rest, docs, id_col, text_col), "links")
+    more = written(confirmed(written(rest, "pairs"), docs, id_col, text_col), "links")
     joined = merged(labels, more)
     resolved = reps.join(joined, reps["rep"] == joined["node"], "left").select(
         "set_key", "n", F.coalesce("label", "rep").alias("component")

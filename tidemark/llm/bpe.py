@@ -23,6 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.caches import claim
 from tidemark.llm.pieces import bytes_of, per_text
 
 #: Pieces that a worker remembers, and words; about 250 MB.
@@ -284,6 +285,7 @@ def bpe_codes(
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         import numpy as np
 
+        claim("bpe", _encoder.cache_clear)
         encoder = _encoder(tokenizer_file)
         n, ids_sha, decoded_sha, ids, decoded = [], [], [], [], []
         for count, code, text in encoder.encode(bytes_of(batch, "_text")):

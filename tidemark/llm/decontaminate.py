@@ -22,6 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DataType, StructField, StructType
 
+from tidemark.llm.caches import claim
 from tidemark.llm.pieces import bytes_of, per_text
 
 #: An overlap: so many equal words in so many in a row.
@@ -43,7 +44,7 @@ LEAST_WORDS = 5
 #: Bytes of benchmark text in a block, and bits of a hash that pick a slot of the first test.
 BLOCK_BYTES, SLOT_BITS = 8 << 20, 22
 #: Words whose hashes a worker remembers.
-REMEMBERED = 1_000_000
+REMEMBERED = 500_000
 
 _EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&=+/\\`~^_-…«»“”‘’¿¡"
 _FACTORS = np.random.default_rng(7).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -186,6 +187,11 @@ def _block(pickled: bytes) -> Block:
     return pickle.loads(pickled)
 
 
+def _forget() -> None:
+    _words().clear()
+    _block.cache_clear()
+
+
 def decontaminate(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -222,6 +228,7 @@ def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, k
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         from pyspark.sql.pandas.types import to_arrow_type
 
+        claim("decontaminate", _forget)
         block = _block(pickled)
         names = batch.schema.names
         before = batch.column(names.index(added[0])).to_pylist() if added[0] in names else [()] * len(batch)

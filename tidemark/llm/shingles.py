@@ -7,6 +7,8 @@ import functools
 import numpy as np
 import xxhash
 
+from tidemark.llm.caches import claim
+
 #: Words whose hashes a worker remembers.
 REMEMBERED = 400_000
 WIDTH = 5
@@ -36,6 +38,7 @@ def words(text: bytes) -> list[bytes]:
 
 
 def hashed(text: bytes) -> np.ndarray:
+    claim("shingles", word_hashes().clear)
     found = words(text)
     return np.fromiter(map(word_hashes().__getitem__, found), dtype=np.uint64, count=len(found))
 

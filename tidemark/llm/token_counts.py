@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.caches import claim
 from tidemark.llm.pieces import bytes_of, per_text
 
 #: A context of so many tokens.
@@ -76,6 +77,7 @@ def token_counts(
     a text are special tokens, as is the library's default.
     """
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("token_counts", _counter.cache_clear)
         texts = bytes_of(batch, "_text")
         n = np.array(_counter(tokenizer_file).count(texts), dtype=np.int64)
         sizes = np.array([len(t) for t in texts], dtype=np.int64)

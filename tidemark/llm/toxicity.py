@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField
 
+from tidemark.llm.caches import claim
 from tidemark.llm.labelled import held_out, sample
 from tidemark.llm.pieces import bytes_of, per_text
 
@@ -198,6 +199,7 @@ def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[i
     vocabulary = pickle.dumps(Vocabulary({t: i for i, t in enumerate(terms)}))
 
     def count(batches):
+        claim("toxicity", _worker.cache_clear)
         words = _worker(vocabulary)
         rows, found = 0, np.zeros(len(terms), dtype=np.int64)
         for batch in batches:
@@ -275,6 +277,7 @@ def toxicity_scores(
     near_type = pa.list_(pa.struct([("cosine", pa.float64()), ("label", pa.int32())]))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("toxicity", _worker.cache_clear)
         m: Model = _worker(pickled)
         score, near_out, terms_out = [], [], []
         for text in bytes_of(batch, "_text"):

@@ -6,9 +6,13 @@ goes when another operator begins, so that the stages of a pipeline don't add up
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import sys
 from collections.abc import Callable
 
+import pyarrow as pa
+
 _clear: dict[str, Callable[[], object]] = {}
 _owner: list[str] = [""]
 
@@ -22,4 +26,9 @@ def claim(name: str, clear: Callable[[], object]) -> None:
         if other != name:
             forget()
     gc.collect()
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":  # give what was freed back to the system
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
     _owner[0] = name

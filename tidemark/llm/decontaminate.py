@@ -44,7 +44,7 @@ LEAST_WORDS = 5
 #: Bytes of benchmark text in a block, and bits of a hash that pick a slot of the first test.
 BLOCK_BYTES, SLOT_BITS = 8 << 20, 22
 #: Words whose hashes a worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 200_000
 
 _EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&=+/\\`~^_-…«»“”‘’¿¡"
 _FACTORS = np.random.default_rng(7).integers(0, 2**63, 16, dtype=np.uint64) * np.uint64(2) + np.uint64(1)

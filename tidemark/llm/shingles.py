@@ -10,7 +10,7 @@ import xxhash
 from tidemark.llm.caches import claim
 
 #: Words whose hashes a worker remembers.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 WIDTH = 5
 
 _ODD = np.uint64(0x9E3779B97F4A7C15)

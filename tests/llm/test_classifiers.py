@@ -2,6 +2,7 @@
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -112,3 +113,27 @@ def test_pipeline(spark, tiny):
     assert copies - near == {91} and near - leaks == {92}
     ids = {r.doc_id for r in corpus_pipeline.run(spark, tiny).collect()}
     assert ids == leaks
+
+
+def test_every_term_of_the_examples_counts(spark):
+    rnd = random.Random(2)
+    plain = [f"plain{i}x" for i in range(400)]
+    texts = [" ".join(rnd.choice(plain) for _ in range(30)) for _ in range(60)]
+    # One toxic row with words that no other row has: no term of it is a telling one.
+    texts += ["zyx wvu tsr qpo nml kji"] + [f"hate{i % 3}ful " + " ".join(rnd.choice(plain) for _ in range(30)) for i in range(20)]
+    docs = spark.createDataFrame(list(enumerate([*texts, texts[60]])), "doc_id long, text string")
+    ids = [i for i in range(len(texts)) if zlib.crc32(str(i).encode()) % 3 != 1]
+    assert 60 in ids
+    model = X.fit(docs, spark.createDataFrame([(i, int(i >= 60)) for i in ids], "doc_id long, toxic int"))
+    rows = {r.doc_id: r for r in X.toxicity_scores(docs, model).collect()}
+    copy = rows[len(texts)]
+    assert not copy.terms and [(round(v.cosine, 9), v.label) for v in copy.nearest] == [(1.0, 1)]
+    # The cosine is that of the whole vectors, by hand.
+    words = [{t: 1 + np.log(n) for t, n in Counter(t for p in text.split() for t in X.terms_of(p)).items()} for text in [*texts, texts[60]]]
+    idf = {t: np.log((1 + len(words)) / (1 + sum(t in w for w in words))) + 1 for w in words for t in w}
+    known = set().union(*(words[i] for i in ids))
+    only = np.log((1 + len(words)) / 2) + 1
+    vectors = [{t: n * (idf[t] if t in known else only) for t, n in w.items()} for w in words]
+    norms = [np.sqrt(sum(x * x for x in v.values())) for v in vectors]
+    want = sorted((sum(x * vectors[e].get(t, 0) for t, x in vectors[3].items()) / norms[3] / norms[e] for e in ids), reverse=True)
+    assert [v.cosine for v in rows[3].nearest] == pytest.approx(want[: X.NEAREST])

@@ -1,20 +1,22 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
-
-Terms are words and word beginnings that tell toxic from clean examples; their idf counts all documents.
-A text's norm also counts its other words, each as a term of its own that no example has, so a
-rare hit in a long text is far from every example. The index holds each term's weights by blocks of
-examples and, for each block, the largest. A query visits blocks in the order of their bounds and
-stops when no further block can reach the k nearest found: the k nearest are exact. Votes weighted by
-cosine give a margin; a logistic curve fitted to left-out votes of the examples makes it a probability.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
+
+Terms are all words and word beginnings of the examples; their idf counts all documents. A text's other
+terms count in its norm as terms that no other document has; they don't change which examples are nearest.
+The index holds rare terms as lists of examples and common ones as a matrix: every text meets all examples,
+and the k nearest are exact. (Bounds by block of examples skip little once common words count, and cost more
+than the product.) Votes weighted by cosine give a margin; the nearest by the part of the cosine that telling terms
+give (those that toxic rows have far more often than clean ones) vote for a second one. A logistic curve
+fitted to left-out votes of the examples makes both a probability.
 """
 
 from __future__ import annotations
 
-import functools
 import math
 import pickle
+import zlib
 from collections import Counter
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,12 @@ from tidemark.llm.labelled import held_out, sample
 from tidemark.llm.pieces import bytes_of, per_text
 
 THRESHOLD = 0.7
-#: Nearest examples that vote, examples in a block, terms in the index.
-NEAREST, BLOCK, TERMS = 41, 64, 4096
-#: Blocks scored in one step.
-AT_ONCE = 8
+#: Nearest examples that vote, and telling terms.
+NEAREST, TERMS = 41, 4096
+#: Texts scored in one step; fewer are filled up, so that a text's sums don't depend on its neighbours.
+AT_ONCE = 64
+#: A term that more than one of so many examples have is a common one.
+COMMON = 16
 #: Lengths of word beginnings, and rows of a class that must have a term.
 BEGINNINGS, LEAST_ROWS = (4, 5, 6, 7, 8), 3
 #: How much more often toxic rows must have a term than clean ones, and the least z value of the difference.
@@ -40,6 +44,8 @@ REMEMBERED = 600_000
 
 _EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&=+/\\`~^_-"
 
+_HASHES = (1 << 60) - 1
+
 
 def word_of(piece: bytes) -> str:
     """A piece without white space, in lower case and without the marks around it."""
@@ -50,51 +56,76 @@ def terms_of(word: str) -> list[str]:
     return [f"{word}$", *(word[:n] for n in BEGINNINGS if len(word) >= n)] if word else []
 
 
+class _Pieces(dict):
+    """Term numbers by piece; a term that no example has gets a number from its hash, after all others.
+
+    Those only tell such terms apart within a text, so a hash that differs from worker to worker does.
+    """
+
+    def __init__(self, terms: dict[str, int]):
+        super().__init__()
+        self.terms = terms
+
+    def __missing__(self, piece: bytes) -> tuple[int, ...]:
+        if len(self) >= REMEMBERED:
+            self.clear()
+        terms, n = self.terms, len(self.terms)
+        found = self[piece] = tuple(
+            [terms[t] if t in terms else n + (hash(t) & _HASHES) for t in terms_of(word_of(piece))]
+        )
+        return found
+
+
 @dataclass
 class Vocabulary:
-    """Term numbers, and idf by number; `rarest` is the idf of a word that isn't a term."""
+    """Term numbers, and idf by number; `rarest` is the idf of a term that one document has."""
 
     terms: dict[str, int]
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
     rarest: float = 1.0
 
     def __post_init__(self):
-        self.seen: dict[bytes, tuple[int, ...]] = {}
-
-    def numbers(self, piece: bytes) -> tuple[int, ...]:
-        found = self.seen.get(piece)
-        if found is None:
-            if len(self.seen) >= REMEMBERED:
-                self.seen.clear()
-            terms = self.terms
-            found = tuple([terms[t] for t in terms_of(word_of(piece)) if t in terms])
-            self.seen[piece] = found
-        return found
-
-    def count(self, text: bytes) -> tuple[Counter, int]:
-        """Term counts of a whole text, and how many of its pieces have no term."""
-        counts: Counter = Counter()
-        pieces = text.split()
-        seen, with_terms = self.seen, 0
-        for piece in pieces:
-            found = seen.get(piece)
-            if found is None:
-                found = self.numbers(piece)
-            if found:
-                counts.update(found)
-                with_terms += 1
-        return counts, len(pieces) - with_terms
-
-    def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights, scaled by the norm that counts the other words too."""
-        counts, others = self.count(text)
-        if not counts:
+        self.seen = _Pieces(self.terms)
+
+    def __getstate__(self):
+        return {"terms": self.terms, "idf": self.idf, "rarest": self.rarest}
+
+    def __setstate__(self, state: dict):
+        self.__dict__.update(state)
+        self.__post_init__()
+
+    def count(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Of a whole text: numbers of its terms in order and their counts, and the counts of terms that no example has."""
+        found = np.fromiter(chain.from_iterable(map(self.seen.__getitem__, text.split())), dtype=np.int64)
+        found.sort()
+        at = np.flatnonzero(np.diff(found, prepend=-1))
+        numbers, tf = found[at], np.diff(at, append=len(found))
+        known = int(np.searchsorted(numbers, len(self.terms)))
+        return numbers[:known], tf[:known], tf[known:]
+
+    def known(self, text: bytes) -> np.ndarray:
+        """Numbers of the examples' terms that a whole text has, each once."""
+        found = np.fromiter(chain.from_iterable(map(self.seen.__getitem__, set(text.split()))), dtype=np.int64)
+        found.sort()
+        found = found[: np.searchsorted(found, len(self.terms))]
+        return found[np.diff(found, prepend=-1) > 0]
+
+    def weighed(self, numbers: np.ndarray, tf: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights, scaled by the norm of all terms of the text."""
+        if not len(numbers):
             return np.zeros(0, dtype=np.int64), np.zeros(0)
-        numbers = np.array(sorted(counts), dtype=np.int64)
-        tf = np.array([counts[n] for n in numbers.tolist()], dtype=np.float64)
         weights = (1 + np.log(tf)) * self.idf[numbers]
-        norm = math.sqrt(float(weights @ weights) + others * self.rarest**2)
-        return numbers, weights / norm
+        beyond = (1 + np.log(others)) * self.rarest
+        return numbers, weights / math.sqrt(float(weights @ weights) + float(beyond @ beyond))
+
+    def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return self.weighed(*self.count(text))
+
+
+def terms_in(texts: list[bytes]) -> list[str]:
+    """All terms of the texts, in a fixed order."""
+    words = {word_of(p) for p in set().union(*(t.split() for t in texts))}
+    return sorted({t for w in words for t in terms_of(w)})
 
 
 def choose_terms(texts: list[bytes], y: list[int], most: int = TERMS) -> list[str]:
@@ -120,78 +151,136 @@ def choose_terms(texts: list[bytes], y: list[int], most: int = TERMS) -> list[st
 
 
 class BlockMaxIndex:
-    """Example vectors by term and block of examples, with the largest weight of each."""
+    """Example vectors: rare terms as lists of examples, common ones as rows of a matrix."""
 
     def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
         self.n = len(vectors)
-        self.blocks = -(-self.n // BLOCK)
-        self.row = np.zeros((terms, max(self.blocks, 1)), dtype=np.int32)
-        self.top = np.zeros((terms, max(self.blocks, 1)))
-        lists: list[np.ndarray] = [np.zeros(BLOCK)]
-        for e, (numbers, weights) in enumerate(vectors):
-            b, slot = divmod(e, BLOCK)
-            for t, w in zip(numbers.tolist(), weights.tolist(), strict=True):
-                if not self.row[t, b]:
-                    self.row[t, b] = len(lists)
-                    lists.append(np.zeros(BLOCK))
-                lists[self.row[t, b]][slot] = w
-                self.top[t, b] = max(self.top[t, b], w)
-        self.lists = np.stack(lists)
+        numbers = np.concatenate([np.zeros(0, dtype=np.int64), *(v[0] for v in vectors)])
+        weights = np.concatenate([np.zeros(0), *(v[1] for v in vectors)])
+        owner = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
+        have = np.bincount(numbers, minlength=terms)
+        common = np.flatnonzero(have * COMMON > self.n)
+        self.row = np.full(terms, -1, dtype=np.int32)
+        self.row[common] = np.arange(len(common))
+        row = self.row[numbers]
+        self.dense = np.zeros((len(common), self.n))
+        self.dense[row[row >= 0], owner[row >= 0]] = weights[row >= 0]
+        rare = np.flatnonzero(row < 0)
+        rare = rare[np.argsort(numbers[rare], kind="stable")]
+        self.examples, self.weights = owner[rare].astype(np.int32), weights[rare]
+        self.start = np.concatenate([[0], np.cumsum(np.where(self.row < 0, have, 0))])
+
+    def nearest_all(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None
+    ) -> list[list[tuple[float, int]]]:
+        """Per vector the k nearest as (cosine, example), ties to the smaller number; cosines of 0 don't count."""
+        if not self.n:
+            return [[] for _ in vectors]
+        out = []
+        for first in range(0, len(vectors), AT_ONCE):
+            some = vectors[first : first + AT_ONCE]
+            queries = np.zeros((AT_ONCE, len(self.dense)))
+            for query, (numbers, weights) in zip(queries, some):
+                row = self.row[numbers]
+                query[row[row >= 0]] = weights[row >= 0]
+            sums = queries @ self.dense
+            for i, (numbers, weights) in enumerate(some):
+                out.append(self._best(sums[i], numbers, weights, k, skip[first + i] if skip else -1))
+        return out
+
+    def _best(self, sums: np.ndarray, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
+        start = self.start[numbers]
+        size = self.start[numbers + 1] - start
+        each = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
+        sums += np.bincount(self.examples[each], np.repeat(weights, size) * self.weights[each], minlength=self.n)
+        if skip >= 0:
+            sums[skip] = 0
+        least = np.partition(sums, self.n - k)[self.n - k] - 1e-11 if self.n > k else 0.0
+        near = np.flatnonzero((sums > 0) & (sums >= least))
+        near = near[np.lexsort((near, -np.round(sums[near], 12)))[:k]]
+        return list(zip(sums[near].tolist(), near.tolist(), strict=True))
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
-        """The k nearest as (cosine, example), ties to the smaller number; cosines of 0 don't count."""
-        if not len(numbers) or not self.n:
-            return []
-        bounds = weights @ self.top[numbers]
-        order = np.argsort(-bounds, kind="stable")
-        order = order[bounds[order] > 0]
-        rows = self.row[numbers]
-        cosines, examples = np.zeros(0), np.zeros(0, dtype=np.int64)
-        for start in range(0, len(order), AT_ONCE):
-            blocks = order[start : start + AT_ONCE]
-            if len(cosines) == k:
-                blocks = blocks[bounds[blocks] >= cosines[-1] - 1e-12]
-                if not len(blocks):
-                    break
-            found = np.tensordot(weights, self.lists[rows[:, blocks]], 1).ravel()
-            names = (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()
-            near = np.flatnonzero((found > 0) & (names != skip))
-            cosines, examples = np.append(cosines, found[near]), np.append(examples, names[near])
-            best = np.lexsort((examples, -np.round(cosines, 12)))[:k]
-            cosines, examples = cosines[best], examples[best]
-        return list(zip(cosines.tolist(), examples.tolist(), strict=True))
+        return self.nearest_all([(numbers, weights)], k, [skip])[0]
 
 
-@dataclass
 class Model:
-    vocabulary: Vocabulary
-    index: BlockMaxIndex
-    labels: np.ndarray
-    slope: float
-    start: float
+    """The examples' term counts, and what follows from them: it is sent as the counts, and each worker builds the rest.
+
+    `telling` has by term number the number in `told`, the index of telling terms alone; -1 for other terms.
+    """
+
+    def __init__(self, vocabulary: Vocabulary, counts: list[tuple[np.ndarray, np.ndarray]], telling: np.ndarray, labels: np.ndarray):
+        self.vocabulary, self.telling, self.labels = vocabulary, telling, labels
+        self.slopes, self.start = np.zeros(2), 0.0
+        self.sizes = np.array([len(n) for n, _ in counts], dtype=np.int64)
+        self.numbers = np.concatenate([np.zeros(0, dtype=np.int32), *(n.astype(np.int32) for n, _ in counts)])
+        self.tf = np.concatenate([np.zeros(0, dtype=np.int32), *(tf.astype(np.int32) for _, tf in counts)])
+        self._build()
+
+    def _build(self) -> None:
+        vectors = self.vectors()
+        self.index = BlockMaxIndex(vectors, len(self.telling))
+        self.told = BlockMaxIndex([self.told_part(*v) for v in vectors], int(self.telling.max(initial=-1)) + 1)
+
+    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Of the examples, in order; all their terms are known."""
+        ends = np.cumsum(self.sizes)
+        none = np.zeros(0)
+        return [
+            self.vocabulary.weighed(self.numbers[a:b].astype(np.int64), self.tf[a:b], none)
+            for a, b in zip((ends - self.sizes).tolist(), ends.tolist(), strict=True)
+        ]
+
+    def __getstate__(self):
+        state = {k: v for k, v in self.__dict__.items() if k not in ("index", "told", "numbers")}
+        state["steps"] = np.diff(self.numbers, prepend=np.int32(0))
+        return zlib.compress(pickle.dumps(state), 6)
+
+    def __setstate__(self, packed: bytes):
+        state = pickle.loads(zlib.decompress(packed))
+        self.numbers = np.cumsum(state.pop("steps"), dtype=np.int32)
+        self.__dict__.update(state)
+        self._build()
 
     def votes(self, near: list[tuple[float, int]]) -> float:
         """Cosines of toxic examples less those of clean ones, as a mean over the voters' places."""
         return sum(c if self.labels[e] else -c for c, e in near) / NEAREST
 
-    def probability(self, margin: float) -> float:
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * margin + self.start))))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-    """Slope and start of p(y | x) by Newton's method, with a light ridge on the slope."""
-    scale = float(np.abs(x).max()) or 1.0
-    design = np.stack([x / scale, np.ones_like(x)], 1)
-    w = np.zeros(2)
+    def told_part(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The telling terms of a vector, and what they weigh in it."""
+        own = self.telling[numbers]
+        return own[own >= 0], weights[own >= 0]
+
+    def margins(
+        self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: list[int] | None = None
+    ) -> list[tuple[list[tuple[float, int]], list[float]]]:
+        """Per vector the nearest examples, and the margins of their votes and of the nearest by telling terms."""
+        near = self.index.nearest_all(vectors, NEAREST, skip)
+        told = self.told.nearest_all([self.told_part(*v) for v in vectors], NEAREST, skip)
+        return [(a, [self.votes(a), self.votes(b)]) for a, b in zip(near, told, strict=True)]
+
+    def probability(self, margins: list[float]) -> float:
+        at = float(self.slopes @ np.array(margins)) + self.start
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, at))))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
+    """Slopes and start of p(y | columns of x) by Newton's method, with a light ridge on the slopes."""
+    scale = np.abs(x).max(0)
+    scale[scale == 0] = 1.0
+    design = np.concatenate([x / scale, np.ones((len(x), 1))], 1)
+    slopes = x.shape[1]
+    w = np.zeros(slopes + 1)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        g = design.T @ (y - p) - np.array([1e-2, 1e-6]) * w
-        h = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-2, 1e-3])
+        g = design.T @ (y - p) - np.array([*[1e-2] * slopes, 1e-6]) * w
+        h = (design * (p * (1 - p))[:, None]).T @ design + np.diag([*[1e-2] * slopes, 1e-3])
         step = np.linalg.solve(h, g)
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    return float(w[0] / scale), float(w[1])
+    return w[:-1] / scale, float(w[-1])
 
 
 def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[int, np.ndarray]:
@@ -199,15 +288,13 @@ def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[i
     vocabulary = pickle.dumps(Vocabulary({t: i for i, t in enumerate(terms)}))
 
     def count(batches):
-        claim("toxicity", _worker.cache_clear)
+        claim("toxicity", _kept.clear)
         words = _worker(vocabulary)
         rows, found = 0, np.zeros(len(terms), dtype=np.int64)
         for batch in batches:
             for text in bytes_of(batch, text_col):
-                counts, _ = words.count(text)
                 rows += 1
-                if counts:
-                    found[list(counts)] += 1
+                found[words.known(text)] += 1
         there = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1, *there.tolist()], pa.int32()), pa.array([rows, *found[there].tolist()], pa.int64())],
@@ -215,46 +302,54 @@ def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[i
         )
 
     sums = docs.select(text_col).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
-    out, total = np.zeros(len(terms), dtype=np.int64), 0
-    for row in sums.collect():  # one row a term at most
-        if row.term < 0:
-            total = row.n
-        else:
-            out[row.term] = row.n
+    out = np.zeros(len(terms), dtype=np.int64)
+    rows = sums.toArrow()  # one row a term at most
+    numbers, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
+    total = int(n[numbers < 0].sum())
+    out[numbers[numbers >= 0]] = n[numbers >= 0]
     return total, out
 
 
-@functools.lru_cache(maxsize=2)
+_kept: dict[bytes, object] = {}
+
+
 def _worker(pickled: bytes):
-    """A worker process keeps what it was sent, and what that has learnt, from task to task."""
-    return pickle.loads(pickled)
+    """A worker process keeps what it was sent last, and what that has learnt, from task to task."""
+    if pickled not in _kept:
+        _kept.clear()  # before the next one is built
+        _kept[pickled] = pickle.loads(pickled)
+    return _kept[pickled]
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", target="toxic") -> Model:
     """Fit on a bounded sample of labelled rows (labelled.sample); idf over all documents.
 
-    Without both classes no term is chosen, and every score is the share of ones, or 0.
+    Without both classes there are no examples, and every score is the share of ones, or 0.
     """
     texts, y = sample(docs, labels, target, id_col, text_col)
-    terms = choose_terms(texts, y)
+    terms = terms_in(texts) if 0 < sum(y) < len(y) else []
     vocabulary = Vocabulary({t: i for i, t in enumerate(terms)})
     share = (labels.where(F.col(target).isin(0, 1) & ~held_out(id_col)).agg(F.avg(target)).first()[0]) or 0.0
     if not terms:
         start = math.log(share / (1 - share)) if 0 < share < 1 else (50.0 if share else -50.0)
-        return Model(vocabulary, BlockMaxIndex([], 1), np.zeros(0), 0.0, start)
+        model = Model(vocabulary, [], np.zeros(0, dtype=np.int64), np.zeros(0))
+        model.start = start
+        return model
     total, have = document_counts(docs, terms, text_col)
     vocabulary.idf = np.log((1 + total) / (1 + have)) + 1
-    vocabulary.rarest = math.log(1 + total) + 1
-    vectors = [vocabulary.vector(t) for t in texts]
-    index = BlockMaxIndex(vectors, len(terms))
-    model = Model(vocabulary, index, np.array(y), 0.0, 0.0)
-    margins = np.array([model.votes(index.nearest(*v, NEAREST, skip=e)) for e, v in enumerate(vectors)])
-    model.slope, model.start = _logistic(margins, np.array(y, dtype=np.float64))
+    vocabulary.rarest = math.log((1 + total) / 2) + 1
+    counts = [vocabulary.count(t)[:2] for t in texts]
+    chosen = choose_terms(texts, y)
+    telling = np.full(len(terms), -1, dtype=np.int64)
+    telling[[vocabulary.terms[t] for t in chosen]] = np.arange(len(chosen))
+    model = Model(vocabulary, counts, telling, np.array(y))
+    vectors = model.vectors()
+    margins = np.array([m for _, m in model.margins(vectors, list(range(len(vectors))))])
+    model.slopes, model.start = _logistic(margins, np.array(y, dtype=np.float64))
     # The sample has other shares of the classes than the labels.
     ones = sum(y) / len(y)
     if 0 < share < 1:
         model.start += math.log(share / (1 - share)) - math.log(ones / (1 - ones))
-    vocabulary.seen.clear()
     return model
 
 
@@ -264,46 +359,49 @@ def toxicity_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = THRESHOLD,
+    evidence: bool = True,
 ) -> DataFrame:
-    """Per row: id, score, predicted (score >= threshold), nearest (the voters: cosine, label; as evidence), terms.
+    """Per row: id, score, predicted (score >= threshold), nearest (the first voters: cosine, label), terms (the telling ones).
 
-    Whole texts are scored. A text that shares no term with any example, so an empty or null one too,
+    The last two are evidence, and left out without `evidence`. Whole texts are scored. A text that shares no term with any example, so an empty or null one too,
     has no voters and gets the score of an even vote. Rows don't shuffle; repeated rows score alike; other columns are not
     read.
     """
     pickled = pickle.dumps(model)
     names_of = list(model.vocabulary.terms)
-    out = [id_col, "score", "predicted", "nearest", "terms"]
+    names_of = {int(i): names_of[i] for i in np.flatnonzero(model.telling >= 0)}
+    out = [id_col, "score", "predicted", *["nearest", "terms"] * evidence]
     near_type = pa.list_(pa.struct([("cosine", pa.float64()), ("label", pa.int32())]))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        claim("toxicity", _worker.cache_clear)
+        claim("toxicity", _kept.clear)
         m: Model = _worker(pickled)
         score, near_out, terms_out = [], [], []
-        for text in bytes_of(batch, "_text"):
-            numbers, weights = m.vocabulary.vector(text)
-            near = m.index.nearest(numbers, weights, NEAREST)
-            score.append(m.probability(m.votes(near)))
-            near_out.append([{"cosine": c, "label": int(m.labels[e])} for c, e in near])
-            terms_out.append([names_of[i] for i in numbers.tolist()])
-        return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()),
-             pa.array(near_out, near_type), pa.array(terms_out, pa.list_(pa.string()))],
-            names=out,
-        )
+        texts = bytes_of(batch, "_text")
+        for first in range(0, len(texts), AT_ONCE):
+            vectors = [m.vocabulary.vector(t) for t in texts[first : first + AT_ONCE]]
+            for (numbers, _), (near, margins) in zip(vectors, m.margins(vectors), strict=True):
+                score.append(m.probability(margins))
+                if evidence:
+                    near_out.append([{"cosine": c, "label": int(m.labels[e])} for c, e in near])
+                    terms_out.append([names_of[i] for i in numbers[m.telling[numbers] >= 0].tolist()])
+        arrays = [batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32())]
+        if evidence:
+            arrays += [pa.array(near_out, near_type), pa.array(terms_out, pa.list_(pa.string()))]
+        return pa.RecordBatch.from_arrays(arrays, names=out)
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind: StructField = docs.schema[id_col]
     return source.mapInArrow(
         per_text("_text", work),
-        f"`{id_col}` {kind.dataType.simpleString()}, score double, predicted int, "
-        "nearest array<struct<cosine:double,label:int>>, terms array<string>",
+        f"`{id_col}` {kind.dataType.simpleString()}, score double, predicted int"
+        + (", nearest array<struct<cosine:double,label:int>>, terms array<string>" if evidence else ""),
     )
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity_scores(docs, model).select(
+    return toxicity_scores(docs, model, evidence=False).select(
         "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted"
     )

@@ -63,3 +63,14 @@ def test_frames(spark, library):
         assert r.decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
     empty = df.where("doc_id < 0")
     assert token_counts(empty, FILE).count() == 0 and bpe_codes(empty, FILE).count() == 0
+
+
+def test_other_white_space_among_many_pieces(library):
+    # As many pieces vanish as split, so the number of parts stays the same.
+    texts = ["alpha", "\u3000", "beta", "prix\u00a0net", "gamma"]
+    encoder = TrieEncoder(FILE)
+    split = encoder._split_all([t.encode() for t in texts])
+    assert split == [["alpha"], [], ["beta"], ["prix", "net"], ["gamma"]]
+    rnd = random.Random(4)
+    spaces = "\u00a0\u1680\u2003\u2028\u202f\u205f\u3000\x85\x1c\x1f\u200b\u180e\ufeff"
+    check(library, TrieEncoder(FILE), [" ".join(texts), *(" ".join("".join(rnd.choice("ab" + spaces) for _ in range(rnd.randint(1, 4))) for _ in range(30)) for _ in range(300))])

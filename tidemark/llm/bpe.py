@@ -30,6 +30,8 @@ from tidemark.llm.pieces import bytes_of, per_text
 REMEMBERED, REMEMBERED_WORDS = 600_000, 400_000
 #: Pairs of tokens whose compatibility a worker remembers.
 PAIRS = 2_000_000
+#: White space of Unicode, and the separators that only Python counts as such.
+_SPACE = re.compile(r"\s")
 
 
 class _Tails(dict):
@@ -193,8 +195,15 @@ class TrieEncoder:
         return out
 
     def _split_all(self, pieces: list[bytes]) -> list[list[str | int]]:
-        """The same for many pieces, most of them in one call of the library."""
+        """The same for many pieces, most of them in one call of the library.
+
+        The normalizer makes other white space a plain space, so a piece that has any goes alone.
+        """
         texts = b" ".join(pieces).decode().split(" ")
+        if len(alone := [i for i, t in enumerate(texts) if not t.isascii() and _SPACE.search(t)]):
+            split = dict(zip(alone, [self._split(texts[i]) for i in alone], strict=True))
+            rest = iter(self._split_all([p for i, p in enumerate(pieces) if i not in split]))
+            return [split[i] if i in split else next(rest) for i in range(len(pieces))]
         marks = {m for word in self.added for m in word[:2]} if self.added else set()
         out: list[list[str | int]] = [[] for _ in pieces]
         normal = self.normalizer.normalize_str(" ".join(texts)).split(" ")

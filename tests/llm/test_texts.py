@@ -147,3 +147,23 @@ def test_trees_hold_out():
     y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)
     m = boost(x[:600], y[:600])
     assert ((m.probability(x[600:]) >= 0.5) == y[600:]).mean() > 0.9
+
+
+def _paragraphs(n, size, word):
+    return "".join(f"<p>{(word + ' ') * (size // (len(word) + 1))}{i}.</p>" for i in range(n))
+
+
+@pytest.mark.parametrize(
+    "inside",
+    [
+        f"<div class=content><section>{_paragraphs(10, 200, 'first')}</section><section>{_paragraphs(5, 200, 'second')}</section></div>",
+        f"<div class=text><h1>second headline</h1>{_paragraphs(5, 400, 'second')}<ul>{_paragraphs(40, 100, 'first').replace('p>', 'li>')}</ul></div>",
+        f"<section>{_paragraphs(10, 200, 'first')}</section><section>{_paragraphs(5, 200, 'second')}</section>",
+    ],
+)
+def test_main_text_in_several_parts(inside):
+    links = "".join(f"<li><a href=/{i}>elsewhere {i}</a></li>" for i in range(20))
+    text = main_text(f"<html><body><div><ul>{links}</ul></div>{inside}<div>All rights kept</div></body></html>")
+    assert text.count("first") > 300 and text.count("second") > 100
+    assert ("headline" in text) == ("headline" in inside)
+    assert "elsewhere" not in text

@@ -5,8 +5,8 @@ share that links hold: with C characters, T tags, LC characters and LT tags of l
 C/T * log base ln(C/nonlink*LC + LCb/Cb*C + e) of (C/LC * T/LT). A node's sum adds its children's
 densities. The body's density sets the threshold: among the nodes on the path from the body to the densest node,
 those at least as dense as the least dense one of that path may hold the main text; of them the one
-with the largest sum is taken, or the article element that it is in, and what is no text of the article is
-left out below it.
+with the largest sum is taken, or the article element that it is in, or the outermost element around it that
+holds more text as dense as the threshold, and what is no text of the article is left out below it.
 """
 
 from __future__ import annotations
@@ -249,6 +249,29 @@ def main_node(root: Node) -> Node:
         found = parents[id(found)]
         if found.tag in ("article", "main"):
             chosen = found
+    return chosen if chosen.tag in ("article", "main") else _widened(chosen, body, parents, least)
+
+
+def _widened(chosen: Node, body: Node, parents: dict[int, Node], least: float) -> Node:
+    """The outermost element where as dense text stands next to what is chosen; its other children don't count from then on.
+
+    Such text is at least a tenth of what is chosen, or stands in an element whose name says that it holds the article.
+    """
+    at, thin, passed = chosen, [], []
+    while at is not body and id(at) in parents:
+        up = parents[id(at)]
+        nodes = [n for n in up.parts if isinstance(n, Node) and not n.beside]
+        others = [n for n in nodes if n is not at and n.chars]
+        dense = [n for n in others if n.density >= least and 2 * n.link_chars < n.chars]
+        # Headlines and short paragraphs stay.
+        passed += [n for n in others if 2 * n.link_chars >= n.chars or (n.tag in CONTAINERS and n.density < least)]
+        more = sum(n.chars - n.link_chars for n in dense) + up.chars - sum(n.chars for n in nodes)
+        if more and (up.good or 10 * more >= chosen.chars - chosen.link_chars):
+            chosen, thin = up, list(passed)
+        at = up
+    for n in thin:
+        # Links between the words of a line belong to it.
+        n.beside = n.beside or n.tag in BLOCKS
     return chosen
 
 

@@ -167,3 +167,18 @@ def test_main_text_in_several_parts(inside):
     assert text.count("first") > 300 and text.count("second") > 100
     assert ("headline" in text) == ("headline" in inside)
     assert "elsewhere" not in text
+
+
+def test_short_items_are_tolerant():
+    words = [f"q{i}" for i in range(12)]
+    for n in range(1, 13):
+        item = words[:n]
+        block = D.make_block([(0, " ".join(item).encode())])
+        for gone in range(n):
+            one = " ".join(["before", *item[:gone], "other", *item[gone + 1 :], "after"]).encode()
+            assert bool(block.matches([one])[0]) == (n >= 7), (n, gone)
+            two = " ".join("other" if i in (gone, (gone + 4) % n) else w for i, w in enumerate(item)).encode()
+            assert bool(block.matches([two])[0]) == (n >= 9), (n, gone)
+        assert block.matches([" ".join(["x", *item, "y"]).encode(), b"x y"]) == [{0}, set()]
+        # A text that begins or ends within the item has replaced words there.
+        assert n < 7 or block.matches([" ".join(item[1:]).encode(), " ".join(item[:-1]).encode()]) == [{0}, {0}]

@@ -39,8 +39,8 @@ MASKS = (
     (0, 5, 6, 7, 8, 9),
     (0, 3, 4, 5, 6, 9),
 )
-#: Items of fewer words than WINDOW match word for word; of fewer than this, never.
-LEAST_WORDS = 5
+#: Items of fewer words than WINDOW may differ in the same share of words; of fewer than TOLERANT, in none.
+LEAST_WORDS, TOLERANT = 1, 7
 #: Bytes of benchmark text in a block, and bits of a hash that pick a slot of the first test.
 BLOCK_BYTES, SLOT_BITS = 8 << 20, 22
 #: Words whose hashes a worker remembers.
@@ -133,10 +133,21 @@ class Block:
         return found
 
 
+def least_equal(n: int) -> int:
+    """How many words of an item of n words must be equal, in WINDOW in a row at most."""
+    return LEAST_EQUAL if n >= WINDOW else n - n * (WINDOW - LEAST_EQUAL) // WINDOW if n >= TOLERANT else n
+
+
+def short_masks(n: int) -> list[tuple[int, ...]]:
+    """Masks for items of n words, fewer than WINDOW: dealt into one part more than words may differ, one part is whole."""
+    parts = n - least_equal(n) + 1
+    return sorted({tuple(x - k for x in range(k, n, parts)) for k in range(parts)})
+
+
 def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
     """Whether the item, laid at `offset` of the document, has a window of enough equal words."""
     window = min(WINDOW, len(item))
-    least = LEAST_EQUAL if len(item) >= WINDOW else len(item)
+    least = least_equal(len(item))
     first, last = max(0, -offset), min(len(item), len(doc) - offset)
     if last - first < least:
         return False
@@ -149,11 +160,12 @@ def overlaps(doc: np.ndarray, item: np.ndarray, offset: int) -> bool:
 def make_block(rows: list[tuple[object, bytes]]) -> Block:
     words = [word_hashes(t) for _, t in rows]
     short = sorted({len(w) for w in words if LEAST_WORDS <= len(w) < WINDOW})
-    masks = [*MASKS, *(tuple(range(n)) for n in short)]
+    short_ones = [(n, mask) for n in short for mask in short_masks(n)]
+    masks = [*MASKS, *(mask for _, mask in short_ones)]
     hashes, items, places = [], [], []
     for number, mask in enumerate(masks):
         for i, w in enumerate(words):
-            if (len(w) >= WINDOW) if number < len(MASKS) else len(w) == len(mask):
+            if (len(w) >= WINDOW) if number < len(MASKS) else len(w) == short_ones[number - len(MASKS)][0]:
                 s = seeds(w, mask, number)
                 hashes.append(s)
                 items.append(np.full(len(s), i, dtype=np.int64))
@@ -205,7 +217,7 @@ def decontaminate(
 
     Input columns of these names give way; without keep_text the texts stay behind. Words are compared
     in lower case and without the marks around them. Null and empty texts overlap nothing; an empty
-    benchmark marks nothing; items of fewer than LEAST_WORDS words, or with a null id, never match.
+    benchmark marks nothing; items without words, or with a null id, never match.
     Items with equal texts are all named. Rows don't shuffle; repeated rows come back repeated.
     """
     clean = docs.select(*[c for c in docs.columns if c.lower() not in {n.lower() for n in names}])

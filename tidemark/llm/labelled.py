@@ -23,8 +23,8 @@ def sample(
     text_col: str = "text",
     rows_per_class: int = ROWS_PER_CLASS,
     longest: int = LONGEST,
-) -> tuple[list[bytes], list[int]]:
-    """Texts and 0/1 labels of rows that aren't held out: per class the first rows by a hash of the id.
+) -> tuple[list[str], list[bytes], list[int]]:
+    """Ids as text, texts and 0/1 labels of rows that aren't held out: per class the first rows by a hash of the id.
 
     The chosen ids, at most 2 * rows_per_class, are broadcast; the documents don't shuffle. Null
     labels, and an id that has both labels, are left out; repeated labels count once. The order is fixed.
@@ -50,4 +50,4 @@ def sample(
         .sort_by([("_id", "ascending"), ("_text", "ascending")])
     )
     texts = [t.encode() for t in rows.column("_text").cast(pa.large_string()).to_pylist()]
-    return texts, rows.column("_y").to_pylist()
+    return [str(i) for i in rows.column("_id").to_pylist()], texts, rows.column("_y").to_pylist()

@@ -150,7 +150,8 @@ def _pair_tree(g: np.ndarray, h: np.ndarray) -> tuple[np.ndarray, float]:
 def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
     """Fit to rows of features and 0/1 labels; without both classes the score is constant.
 
-    Classes weigh the same in all, and the bias puts the share of the labels back.
+    The classes weigh the same in all, whatever their shares; so a score of 0.5 is where a text is as likely
+    among the one as among the other, and the bias is 0 unless the score is constant.
     """
     n_features = len(FEATURES)
     empty = [np.zeros(0)] * n_features
@@ -202,7 +203,7 @@ def fit(x: np.ndarray, y: np.ndarray) -> AdditiveModel:
 
 
 def fit_from(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", target="quality") -> AdditiveModel:
-    texts, y = sample(docs, labels, target, id_col, text_col)
+    _, texts, y = sample(docs, labels, target, id_col, text_col)
     x = np.array([features(t) for t in texts]).reshape(len(texts), len(FEATURES))
     return fit(x, np.array(y, dtype=np.float64))
 

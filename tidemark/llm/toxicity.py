@@ -1,12 +1,14 @@
-"""Toxicity by nearest labelled examples: exact TF-IDF cosine over an inverted index.
-
-Terms are all words and word beginnings of the examples; their idf counts all documents. A text's other
-terms count in its norm as terms that no other document has; they don't change which examples are nearest.
-The index holds rare terms as lists of examples and common ones as a matrix: every text meets all examples,
-and the k nearest are exact. (Bounds by block of examples skip little once common words count, and cost more
-than the product.) Votes weighted by cosine give a margin; the nearest by the part of the cosine that telling terms
-give (those that toxic rows have far more often than clean ones) vote for a second one. A logistic curve
-fitted to left-out votes of the examples makes both a probability.
+"""Toxicity by nearest labelled examples: exact TF-IDF cosine over a block-max inverted index.
+
+Terms are words cut to their first STEM letters, a plain stemming that joins the inflections of a word in most
+languages. The vocabulary has every term of the sampled examples; idf counts all documents. A text's vector is
+(1 + log tf) * idf over the vocabulary, scaled to length 1; terms that no example has aren't part of the model.
+
+The examples are ordered so that like ones stand together and cut into blocks. The index has, by term, the
+largest weight in each block: with a query's weights they bound the cosine of every example of a block. A block
+is scored only if its bound reaches the k-th best cosine found so far, so the k nearest are exact. They
+vote with their cosines, those of the rarer class weighing more; a logistic curve fitted to the left-out votes of the examples, moved to the labels' own
+share of ones, makes the votes a probability. The voters' ids and cosines are the evidence.
 """
 
 from __future__ import annotations
@@ -14,278 +16,255 @@ from __future__ import annotations
 import math
 import pickle
 import zlib
-from collections import Counter
 from dataclasses import dataclass, field
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField
 
 from tidemark.llm.caches import claim
 from tidemark.llm.labelled import held_out, sample
 from tidemark.llm.pieces import bytes_of, per_text
 
 THRESHOLD = 0.7
-#: Nearest examples that vote, and telling terms.
-NEAREST, TERMS = 41, 4096
-#: Texts scored in one step; fewer are filled up, so that a text's sums don't depend on its neighbours.
-AT_ONCE = 64
-#: A term that more than one of so many examples have is a common one.
-COMMON = 16
-#: Lengths of word beginnings, and rows of a class that must have a term.
-BEGINNINGS, LEAST_ROWS = (4, 5, 6, 7, 8), 3
-#: How much more often toxic rows must have a term than clean ones, and the least z value of the difference.
-LEAST_LIFT, LEAST_Z = 3.0, 4.0
+#: Nearest examples that vote, and letters of a term.
+NEAREST, STEM = 41, 4
+#: Examples in a block, and texts searched for in one step.
+BLOCK, AT_ONCE = 64, 64
+#: Voters whose ids and cosines are written as evidence.
+EVIDENCE = 5
 #: Pieces that a worker remembers.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
+#: What single-precision sums may be off by; such ties are settled in double precision.
+SLACK = 1e-4
 
 _EDGES = " \t\r\n.,;:!?\"'()[]{}<>|*#$%&=+/\\`~^_-"
 
-_HASHES = (1 << 60) - 1
-
 
-def word_of(piece: bytes) -> str:
-    """A piece without white space, in lower case and without the marks around it."""
-    return piece.decode().lower().strip(_EDGES)
-
-
-def terms_of(word: str) -> list[str]:
-    return [f"{word}$", *(word[:n] for n in BEGINNINGS if len(word) >= n)] if word else []
+def term_of(piece: bytes) -> str:
+    """The term of a piece without white space: lower case, without the marks around it, cut; may be empty."""
+    return piece.decode().lower().strip(_EDGES)[:STEM]
 
 
 class _Pieces(dict):
-    """Term numbers by piece; a term that no example has gets a number from its hash, after all others.
-
-    Those only tell such terms apart within a text, so a hash that differs from worker to worker does.
-    """
+    """Term numbers by piece; -1 for a piece without a term of the vocabulary."""
 
     def __init__(self, terms: dict[str, int]):
         super().__init__()
         self.terms = terms
 
-    def __missing__(self, piece: bytes) -> tuple[int, ...]:
+    def __missing__(self, piece: bytes) -> int:
         if len(self) >= REMEMBERED:
             self.clear()
-        terms, n = self.terms, len(self.terms)
-        found = self[piece] = tuple(
-            [terms[t] if t in terms else n + (hash(t) & _HASHES) for t in terms_of(word_of(piece))]
-        )
+        found = self[piece] = self.terms.get(term_of(piece), -1)
         return found
 
 
 @dataclass
 class Vocabulary:
-    """Term numbers, and idf by number; `rarest` is the idf of a term that one document has."""
+    """Term numbers, and idf by number."""
 
     terms: dict[str, int]
     idf: np.ndarray = field(default_factory=lambda: np.zeros(0))
-    rarest: float = 1.0
 
     def __post_init__(self):
         self.seen = _Pieces(self.terms)
 
     def __getstate__(self):
-        return {"terms": self.terms, "idf": self.idf, "rarest": self.rarest}
+        return {"terms": self.terms, "idf": self.idf}
 
     def __setstate__(self, state: dict):
         self.__dict__.update(state)
         self.__post_init__()
 
-    def count(self, text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Of a whole text: numbers of its terms in order and their counts, and the counts of terms that no example has."""
-        found = np.fromiter(chain.from_iterable(map(self.seen.__getitem__, text.split())), dtype=np.int64)
+    def count(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of a whole text's terms, in order, and how often each occurs."""
+        found = np.fromiter(map(self.seen.__getitem__, text.split()), dtype=np.int64)
+        found = found[found >= 0]
         found.sort()
         at = np.flatnonzero(np.diff(found, prepend=-1))
-        numbers, tf = found[at], np.diff(at, append=len(found))
-        known = int(np.searchsorted(numbers, len(self.terms)))
-        return numbers[:known], tf[:known], tf[known:]
-
-    def known(self, text: bytes) -> np.ndarray:
-        """Numbers of the examples' terms that a whole text has, each once."""
-        found = np.fromiter(chain.from_iterable(map(self.seen.__getitem__, set(text.split()))), dtype=np.int64)
-        found.sort()
-        found = found[: np.searchsorted(found, len(self.terms))]
-        return found[np.diff(found, prepend=-1) > 0]
+        return found[at], np.diff(at, append=len(found))
 
-    def weighed(self, numbers: np.ndarray, tf: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Term numbers and weights, scaled by the norm of all terms of the text."""
-        if not len(numbers):
-            return np.zeros(0, dtype=np.int64), np.zeros(0)
+    def weighed(self, numbers: np.ndarray, tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Term numbers and weights, scaled to length 1; terms of weight 0 stay out."""
         weights = (1 + np.log(tf)) * self.idf[numbers]
-        beyond = (1 + np.log(others)) * self.rarest
-        return numbers, weights / math.sqrt(float(weights @ weights) + float(beyond @ beyond))
+        numbers, weights = numbers[weights > 0], weights[weights > 0]
+        return numbers, weights / math.sqrt(float(weights @ weights)) if len(weights) else weights
 
     def vector(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         return self.weighed(*self.count(text))
 
 
-def terms_in(texts: list[bytes]) -> list[str]:
-    """All terms of the texts, in a fixed order."""
-    words = {word_of(p) for p in set().union(*(t.split() for t in texts))}
-    return sorted({t for w in words for t in terms_of(w)})
-
-
-def choose_terms(texts: list[bytes], y: list[int], most: int = TERMS) -> list[str]:
-    """The terms whose share of rows differs most between the classes, by a two-sample z value."""
-    ones = sum(y)
-    zeros = len(y) - ones
-    if not ones or not zeros:
-        return []
-    rows: tuple[Counter, Counter] = (Counter(), Counter())
-    for text, label in zip(texts, y, strict=True):
-        words = {word_of(p) for p in set(text.split())}
-        rows[label].update({t for w in words for t in terms_of(w)})
-    scored = []
-    for term in rows[1]:
-        a, b = rows[1][term], rows[0][term]
-        if a < LEAST_ROWS or a * zeros < LEAST_LIFT * b * ones:
-            continue
-        p = (a + b) / (ones + zeros)
-        z = (a / ones - b / zeros) / math.sqrt(p * (1 - p) * (1 / ones + 1 / zeros) + 1e-12)
-        if z >= LEAST_Z:
-            scored.append((-z, term))
-    return [t for _, t in sorted(scored)[:most]]
+Vector = tuple[np.ndarray, np.ndarray]
+
+
+def like_order(vectors: list[Vector], terms: int, rounds: int = 6) -> np.ndarray:
+    """An order of the examples in which like ones stand together: groups of a k-means over random projections."""
+    rng = np.random.default_rng(17)
+    axes = rng.standard_normal((terms, 48))
+    points = np.stack([w @ axes[n] for n, w in vectors])
+    points /= np.maximum(np.linalg.norm(points, axis=1, keepdims=True), 1e-12)
+    groups = max(1, len(vectors) // (2 * BLOCK))
+    centres = points[rng.permutation(len(points))[:groups]]
+    for _ in range(rounds):
+        near = (points @ centres.T).argmax(1)
+        sums = np.zeros_like(centres)
+        np.add.at(sums, near, points)
+        centres = sums / np.maximum(np.linalg.norm(sums, axis=1, keepdims=True), 1e-12)
+    sizes = np.array([len(n) for n, _ in vectors])
+    first = (centres @ centres[0]).argsort(kind="stable").argsort(kind="stable")
+    return np.lexsort((sizes, first[near]))
 
 
 class BlockMaxIndex:
-    """Example vectors: rare terms as lists of examples, common ones as rows of a matrix."""
-
-    def __init__(self, vectors: list[tuple[np.ndarray, np.ndarray]], terms: int):
-        self.n = len(vectors)
-        numbers = np.concatenate([np.zeros(0, dtype=np.int64), *(v[0] for v in vectors)])
-        weights = np.concatenate([np.zeros(0), *(v[1] for v in vectors)])
-        owner = np.repeat(np.arange(self.n), [len(v[0]) for v in vectors])
-        have = np.bincount(numbers, minlength=terms)
-        common = np.flatnonzero(have * COMMON > self.n)
-        self.row = np.full(terms, -1, dtype=np.int32)
-        self.row[common] = np.arange(len(common))
-        row = self.row[numbers]
-        self.dense = np.zeros((len(common), self.n))
-        self.dense[row[row >= 0], owner[row >= 0]] = weights[row >= 0]
-        rare = np.flatnonzero(row < 0)
-        rare = rare[np.argsort(numbers[rare], kind="stable")]
-        self.examples, self.weights = owner[rare].astype(np.int32), weights[rare]
-        self.start = np.concatenate([[0], np.cumsum(np.where(self.row < 0, have, 0))])
-
-    def nearest_all(
-        self, vectors: list[tuple[np.ndarray, np.ndarray]], k: int, skip: list[int] | None = None
-    ) -> list[list[tuple[float, int]]]:
+    """Example vectors in blocks; examples are named by their place in the list given."""
+
+    def __init__(self, vectors: list[Vector], terms: int, order: np.ndarray | None = None):
+        self.n, self.terms = len(vectors), terms
+        self.order = np.arange(self.n) if order is None else order
+        placed = [vectors[i] for i in self.order]
+        self.numbers = np.concatenate([np.zeros(0, dtype=np.int64), *(v[0] for v in placed)])
+        self.weights = np.concatenate([np.zeros(0), *(v[1] for v in placed)])
+        self.start = np.concatenate([[0], np.cumsum([len(v[0]) for v in placed], dtype=np.int64)]).astype(np.int64)
+        self.blocks: list[tuple[np.ndarray, np.ndarray]] = []
+        starts = range(0, self.n, BLOCK)
+        self.largest = np.zeros((terms, len(starts)), dtype=np.float32)
+        for b, first in enumerate(starts):
+            some = placed[first : first + BLOCK]
+            own = np.unique(np.concatenate([v[0] for v in some]))
+            dense = np.zeros((len(own), len(some)), dtype=np.float32)
+            for column, (numbers, weights) in enumerate(some):
+                dense[np.searchsorted(own, numbers), column] = weights
+            self.blocks.append((own, dense))
+            self.largest[own, b] = dense.max(1, initial=0)
+        self.place = np.empty(self.n, dtype=np.int64)
+        self.place[self.order] = np.arange(self.n)
+        self.scored = 0  # blocks of texts, to see what the bounds spare
+
+    def _score(self, queries: np.ndarray, wanted: np.ndarray, scores: np.ndarray) -> None:
+        for b, (own, dense) in enumerate(self.blocks):
+            rows = np.flatnonzero(wanted[:, b])
+            if len(rows):
+                self.scored += len(rows)
+                scores[rows, b * BLOCK : b * BLOCK + dense.shape[1]] = queries[rows[:, None], own] @ dense
+
+    def nearest_all(self, vectors: list[Vector], k: int, skip: list[int] | None = None) -> list[list[tuple[float, int]]]:
         """Per vector the k nearest as (cosine, example), ties to the smaller number; cosines of 0 don't count."""
         if not self.n:
             return [[] for _ in vectors]
         out = []
         for first in range(0, len(vectors), AT_ONCE):
             some = vectors[first : first + AT_ONCE]
-            queries = np.zeros((AT_ONCE, len(self.dense)))
-            for query, (numbers, weights) in zip(queries, some):
-                row = self.row[numbers]
-                query[row[row >= 0]] = weights[row >= 0]
-            sums = queries @ self.dense
-            for i, (numbers, weights) in enumerate(some):
-                out.append(self._best(sums[i], numbers, weights, k, skip[first + i] if skip else -1))
+            queries = np.zeros((len(some), self.terms), dtype=np.float32)
+            for query, (numbers, weights) in zip(queries, some, strict=True):
+                query[numbers] = weights
+            left_out = None if skip is None else [int(self.place[s]) if s >= 0 else -1 for s in skip[first : first + AT_ONCE]]
+            out += self._search(some, queries, k, left_out)
         return out
 
-    def _best(self, sums: np.ndarray, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int) -> list[tuple[float, int]]:
-        start = self.start[numbers]
-        size = self.start[numbers + 1] - start
+    def _search(self, some: list[Vector], queries: np.ndarray, k: int, left_out: list[int] | None) -> list[list[tuple[float, int]]]:
+        bounds = queries @ self.largest
+        scores = np.zeros((len(some), self.n), dtype=np.float32)
+        wanted = np.zeros(bounds.shape, dtype=bool)
+        enough = min(bounds.shape[1], -(-2 * k // BLOCK) + 1)
+        best = np.argpartition(-bounds, enough - 1, axis=1)[:, :enough]
+        np.put_along_axis(wanted, best, True, axis=1)
+        self._score(queries, wanted, scores)
+
+        def kth() -> np.ndarray:
+            if left_out is not None:
+                rows = [i for i, p in enumerate(left_out) if p >= 0]
+                scores[rows, [left_out[i] for i in rows]] = 0
+            return np.partition(scores, self.n - k, axis=1)[:, self.n - k] if self.n > k else np.zeros(len(some), dtype=np.float32)
+
+        rest = ~wanted & (bounds >= kth()[:, None] - SLACK) & (bounds > 0)
+        self._score(queries, rest, scores)
+        least = kth() - SLACK
+        found, full = [], np.zeros(self.terms)
+        for i, (numbers, weights) in enumerate(some):
+            places = np.flatnonzero((scores[i] > 0) & (scores[i] >= least[i]))
+            full[numbers] = weights
+            found.append(self._exact(full, places, k))
+            full[numbers] = 0
+        return found
+
+    def _exact(self, full: np.ndarray, places: np.ndarray, k: int) -> list[tuple[float, int]]:
+        """The k best of some places, by cosines in double precision that no other text or example has a part in."""
+        start = self.start[places]
+        size = self.start[places + 1] - start
         each = np.repeat(start - np.cumsum(size) + size, size) + np.arange(size.sum())
-        sums += np.bincount(self.examples[each], np.repeat(weights, size) * self.weights[each], minlength=self.n)
-        if skip >= 0:
-            sums[skip] = 0
-        least = np.partition(sums, self.n - k)[self.n - k] - 1e-11 if self.n > k else 0.0
-        near = np.flatnonzero((sums > 0) & (sums >= least))
-        near = near[np.lexsort((near, -np.round(sums[near], 12)))[:k]]
-        return list(zip(sums[near].tolist(), near.tolist(), strict=True))
+        cosines = np.bincount(np.repeat(np.arange(len(places)), size), full[self.numbers[each]] * self.weights[each], minlength=len(places))
+        examples = self.order[places]
+        top = np.lexsort((examples, -np.round(cosines, 12)))[:k]
+        return list(zip(cosines[top].tolist(), examples[top].tolist(), strict=True))
 
     def nearest(self, numbers: np.ndarray, weights: np.ndarray, k: int, skip: int = -1) -> list[tuple[float, int]]:
         return self.nearest_all([(numbers, weights)], k, [skip])[0]
 
 
 class Model:
-    """The examples' term counts, and what follows from them: it is sent as the counts, and each worker builds the rest.
-
-    `telling` has by term number the number in `told`, the index of telling terms alone; -1 for other terms.
-    """
+    """The examples' ids, labels and term counts, and what follows from them: each worker builds the index itself."""
 
-    def __init__(self, vocabulary: Vocabulary, counts: list[tuple[np.ndarray, np.ndarray]], telling: np.ndarray, labels: np.ndarray):
-        self.vocabulary, self.telling, self.labels = vocabulary, telling, labels
-        self.slopes, self.start = np.zeros(2), 0.0
+    def __init__(self, vocabulary: Vocabulary, counts: list[Vector], ids: list, labels: np.ndarray):
+        self.vocabulary, self.ids, self.labels = vocabulary, ids, labels
+        self.slope, self.start = 0.0, 0.0
+        self.weigh = [len(labels) / max(2 * int((labels == v).sum()), 1) for v in (0, 1)]
         self.sizes = np.array([len(n) for n, _ in counts], dtype=np.int64)
         self.numbers = np.concatenate([np.zeros(0, dtype=np.int32), *(n.astype(np.int32) for n, _ in counts)])
         self.tf = np.concatenate([np.zeros(0, dtype=np.int32), *(tf.astype(np.int32) for _, tf in counts)])
+        self.order = like_order(self.vectors(), len(vocabulary.terms)) if counts else np.zeros(0, dtype=np.int64)
         self._build()
 
     def _build(self) -> None:
-        vectors = self.vectors()
-        self.index = BlockMaxIndex(vectors, len(self.telling))
-        self.told = BlockMaxIndex([self.told_part(*v) for v in vectors], int(self.telling.max(initial=-1)) + 1)
+        self.index = BlockMaxIndex(self.vectors(), len(self.vocabulary.terms), self.order)
 
-    def vectors(self) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Of the examples, in order; all their terms are known."""
+    def vectors(self) -> list[Vector]:
+        """Of the examples, in order."""
         ends = np.cumsum(self.sizes)
-        none = np.zeros(0)
         return [
-            self.vocabulary.weighed(self.numbers[a:b].astype(np.int64), self.tf[a:b], none)
+            self.vocabulary.weighed(self.numbers[a:b].astype(np.int64), self.tf[a:b])
             for a, b in zip((ends - self.sizes).tolist(), ends.tolist(), strict=True)
         ]
 
     def __getstate__(self):
-        state = {k: v for k, v in self.__dict__.items() if k not in ("index", "told", "numbers")}
-        state["steps"] = np.diff(self.numbers, prepend=np.int32(0))
-        return zlib.compress(pickle.dumps(state), 6)
+        return zlib.compress(pickle.dumps({k: v for k, v in self.__dict__.items() if k != "index"}), 6)
 
     def __setstate__(self, packed: bytes):
-        state = pickle.loads(zlib.decompress(packed))
-        self.numbers = np.cumsum(state.pop("steps"), dtype=np.int32)
-        self.__dict__.update(state)
+        self.__dict__.update(pickle.loads(zlib.decompress(packed)))
         self._build()
 
-    def votes(self, near: list[tuple[float, int]]) -> float:
-        """Cosines of toxic examples less those of clean ones, as a mean over the voters' places."""
-        return sum(c if self.labels[e] else -c for c, e in near) / NEAREST
-
-    def told_part(self, numbers: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The telling terms of a vector, and what they weigh in it."""
-        own = self.telling[numbers]
-        return own[own >= 0], weights[own >= 0]
-
-    def margins(
-        self, vectors: list[tuple[np.ndarray, np.ndarray]], skip: list[int] | None = None
-    ) -> list[tuple[list[tuple[float, int]], list[float]]]:
-        """Per vector the nearest examples, and the margins of their votes and of the nearest by telling terms."""
-        near = self.index.nearest_all(vectors, NEAREST, skip)
-        told = self.told.nearest_all([self.told_part(*v) for v in vectors], NEAREST, skip)
-        return [(a, [self.votes(a), self.votes(b)]) for a, b in zip(near, told, strict=True)]
-
-    def probability(self, margins: list[float]) -> float:
-        at = float(self.slopes @ np.array(margins)) + self.start
-        return 1 / (1 + math.exp(-max(-50.0, min(50.0, at))))
-
-
-def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, float]:
-    """Slopes and start of p(y | columns of x) by Newton's method, with a light ridge on the slopes."""
-    scale = np.abs(x).max(0)
-    scale[scale == 0] = 1.0
-    design = np.concatenate([x / scale, np.ones((len(x), 1))], 1)
-    slopes = x.shape[1]
-    w = np.zeros(slopes + 1)
+    def margin(self, near: list[tuple[float, int]]) -> float:
+        """The voters' cosines, toxic ones less clean ones, as a share of all; both classes weigh the same in all examples."""
+        for_, against = (self.weigh[v] * sum(c for c, e in near if self.labels[e] == v) for v in (1, 0))
+        return (for_ - against) / (for_ + against) if near else 0.0
+
+    def nearest(self, vectors: list[Vector], skip: list[int] | None = None) -> list[list[tuple[float, int]]]:
+        return self.index.nearest_all(vectors, NEAREST, skip)
+
+    def probability(self, margin: float) -> float:
+        return 1 / (1 + math.exp(-max(-50.0, min(50.0, self.slope * margin + self.start))))
+
+
+def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float]:
+    """Slope and start of p(y | x) by Newton's method, with a light ridge."""
+    scale = float(np.abs(x).max()) or 1.0
+    design = np.stack([x / scale, np.ones(len(x))], 1)
+    w = np.zeros(2)
     for _ in range(60):
         p = 1 / (1 + np.exp(-np.clip(design @ w, -30, 30)))
-        g = design.T @ (y - p) - np.array([*[1e-2] * slopes, 1e-6]) * w
-        h = (design * (p * (1 - p))[:, None]).T @ design + np.diag([*[1e-2] * slopes, 1e-3])
+        g = design.T @ (y - p) - np.array([1e-2, 1e-6]) * w
+        h = (design * (p * (1 - p))[:, None]).T @ design + np.diag([1e-2, 1e-3])
         step = np.linalg.solve(h, g)
         w += step
         if np.abs(step).max() < 1e-8:
             break
-    return w[:-1] / scale, float(w[-1])
+    return float(w[0]) / scale, float(w[1])
 
 
-def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[int, np.ndarray]:
+def document_counts(docs: DataFrame, terms: dict[str, int], text_col: str) -> tuple[int, np.ndarray]:
     """How many documents there are, and how many have each term: over all rows and whole texts."""
-    vocabulary = pickle.dumps(Vocabulary({t: i for i, t in enumerate(terms)}))
+    vocabulary = pickle.dumps(Vocabulary(terms))
 
     def count(batches):
         claim("toxicity", _kept.clear)
@@ -294,7 +273,7 @@ def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[i
         for batch in batches:
             for text in bytes_of(batch, text_col):
                 rows += 1
-                found[words.known(text)] += 1
+                found[words.count(text)[0]] += 1
         there = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1, *there.tolist()], pa.int32()), pa.array([rows, *found[there].tolist()], pa.int64())],
@@ -303,11 +282,10 @@ def document_counts(docs: DataFrame, terms: list[str], text_col: str) -> tuple[i
 
     sums = docs.select(text_col).mapInArrow(count, "term int, n long").groupBy("term").agg(F.sum("n").alias("n"))
     out = np.zeros(len(terms), dtype=np.int64)
-    rows = sums.toArrow()  # one row a term at most
+    rows = sums.toArrow()  # a row for each term of the examples at most
     numbers, n = rows.column("term").to_numpy(), rows.column("n").to_numpy()
-    total = int(n[numbers < 0].sum())
     out[numbers[numbers >= 0]] = n[numbers >= 0]
-    return total, out
+    return int(n[numbers < 0].sum()), out
 
 
 _kept: dict[bytes, object] = {}
@@ -324,28 +302,23 @@ def _worker(pickled: bytes):
 def fit(docs: DataFrame, labels: DataFrame, id_col="doc_id", text_col="text", target="toxic") -> Model:
     """Fit on a bounded sample of labelled rows (labelled.sample); idf over all documents.
 
-    Without both classes there are no examples, and every score is the share of ones, or 0.
+    Without both classes there are no examples, and every score is the share of ones, or 0. Nothing is chosen
+    by the labels, so the left-out votes that calibrate the curve are those of unseen rows.
     """
-    texts, y = sample(docs, labels, target, id_col, text_col)
-    terms = terms_in(texts) if 0 < sum(y) < len(y) else []
-    vocabulary = Vocabulary({t: i for i, t in enumerate(terms)})
+    ids, texts, y = sample(docs, labels, target, id_col, text_col)
     share = (labels.where(F.col(target).isin(0, 1) & ~held_out(id_col)).agg(F.avg(target)).first()[0]) or 0.0
-    if not terms:
-        start = math.log(share / (1 - share)) if 0 < share < 1 else (50.0 if share else -50.0)
-        model = Model(vocabulary, [], np.zeros(0, dtype=np.int64), np.zeros(0))
-        model.start = start
+    names = sorted({term_of(p) for t in texts for p in set(t.split())} - {""}) if 0 < sum(y) < len(y) else []
+    vocabulary = Vocabulary({t: i for i, t in enumerate(names)})
+    if not names:
+        model = Model(vocabulary, [], [], np.zeros(0))
+        model.start = math.log(share / (1 - share)) if 0 < share < 1 else (50.0 if share else -50.0)
         return model
-    total, have = document_counts(docs, terms, text_col)
-    vocabulary.idf = np.log((1 + total) / (1 + have)) + 1
-    vocabulary.rarest = math.log((1 + total) / 2) + 1
-    counts = [vocabulary.count(t)[:2] for t in texts]
-    chosen = choose_terms(texts, y)
-    telling = np.full(len(terms), -1, dtype=np.int64)
-    telling[[vocabulary.terms[t] for t in chosen]] = np.arange(len(chosen))
-    model = Model(vocabulary, counts, telling, np.array(y))
+    total, have = document_counts(docs, vocabulary.terms, text_col)
+    vocabulary.idf = np.log((1 + total) / (1 + have))
+    model = Model(vocabulary, [vocabulary.count(t) for t in texts], ids, np.array(y))
     vectors = model.vectors()
-    margins = np.array([m for _, m in model.margins(vectors, list(range(len(vectors))))])
-    model.slopes, model.start = _logistic(margins, np.array(y, dtype=np.float64))
+    margins = np.array([model.margin(near) for near in model.nearest(vectors, list(range(len(vectors))))])
+    model.slope, model.start = _logistic(margins, np.array(y, dtype=np.float64))
     # The sample has other shares of the classes than the labels.
     ones = sum(y) / len(y)
     if 0 < share < 1:
@@ -359,49 +332,42 @@ def toxicity_scores(
     id_col: str = "doc_id",
     text_col: str = "text",
     threshold: float = THRESHOLD,
-    evidence: bool = True,
+    evidence: int = EVIDENCE,
 ) -> DataFrame:
-    """Per row: id, score, predicted (score >= threshold), nearest (the first voters: cosine, label), terms (the telling ones).
+    """Per row: id, score, predicted (score >= threshold), nearest (the first `evidence` voters: id, cosine, label).
 
-    The last two are evidence, and left out without `evidence`. Whole texts are scored. A text that shares no term with any example, so an empty or null one too,
-    has no voters and gets the score of an even vote. Rows don't shuffle; repeated rows score alike; other columns are not
-    read.
+    Whole texts are scored. A text that shares no term with any example, so an empty or null one too, has no voters
+    and gets the score of an even vote. Rows don't shuffle; repeated rows score alike; an empty table gives an
+    empty result; other columns are not read. Example ids are those of the labels' table, as text.
     """
     pickled = pickle.dumps(model)
-    names_of = list(model.vocabulary.terms)
-    names_of = {int(i): names_of[i] for i in np.flatnonzero(model.telling >= 0)}
-    out = [id_col, "score", "predicted", *["nearest", "terms"] * evidence]
-    near_type = pa.list_(pa.struct([("cosine", pa.float64()), ("label", pa.int32())]))
+    out = [id_col, "score", "predicted", "nearest"]
+    near_type = pa.list_(pa.struct([("id", pa.string()), ("cosine", pa.float64()), ("label", pa.int32())]))
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         claim("toxicity", _kept.clear)
         m: Model = _worker(pickled)
-        score, near_out, terms_out = [], [], []
+        score, shown = [], []
         texts = bytes_of(batch, "_text")
         for first in range(0, len(texts), AT_ONCE):
-            vectors = [m.vocabulary.vector(t) for t in texts[first : first + AT_ONCE]]
-            for (numbers, _), (near, margins) in zip(vectors, m.margins(vectors), strict=True):
-                score.append(m.probability(margins))
-                if evidence:
-                    near_out.append([{"cosine": c, "label": int(m.labels[e])} for c, e in near])
-                    terms_out.append([names_of[i] for i in numbers[m.telling[numbers] >= 0].tolist()])
-        arrays = [batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32())]
-        if evidence:
-            arrays += [pa.array(near_out, near_type), pa.array(terms_out, pa.list_(pa.string()))]
-        return pa.RecordBatch.from_arrays(arrays, names=out)
+            for near in m.nearest([m.vocabulary.vector(t) for t in texts[first : first + AT_ONCE]]):
+                score.append(m.probability(m.margin(near)))
+                shown.append([{"id": m.ids[e], "cosine": c, "label": int(m.labels[e])} for c, e in near[:evidence]])
+        return pa.RecordBatch.from_arrays(
+            [batch.column(0), pa.array(score, pa.float64()), pa.array([int(s >= threshold) for s in score], pa.int32()), pa.array(shown, near_type)],
+            names=out,
+        )
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
-    kind: StructField = docs.schema[id_col]
+    kind = docs.schema[id_col].dataType.simpleString()
     return source.mapInArrow(
-        per_text("_text", work),
-        f"`{id_col}` {kind.dataType.simpleString()}, score double, predicted int"
-        + (", nearest array<struct<cosine:double,label:int>>, terms array<string>" if evidence else ""),
+        per_text("_text", work, 4 << 20),
+        f"`{id_col}` {kind}, score double, predicted int, nearest array<struct<id:string,cosine:double,label:int>>",
     )
 
 
 def op7_toxicity(spark, sf_dir: str) -> DataFrame:
+    """Per document: doc_id, held_out, score, predicted, and the first voters as evidence."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
     model = fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return toxicity_scores(docs, model, evidence=False).select(
-        "doc_id", held_out("doc_id").alias("held_out"), "score", "predicted"
-    )
+    return toxicity_scores(docs, model).select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted", "nearest")

@@ -55,7 +55,7 @@ def test_frames(spark, library):
     want = [library.encode(t or "", add_special_tokens=False).ids for t in texts]
     got = token_counts(df, FILE).orderBy("doc_id").collect()
     assert [(r.n_bytes, r.n_tokens, r.over_limit) for r in got] == [(len((t or "").encode()), len(w), len(w) > 2048) for t, w in zip(texts, want, strict=True)]
-    coded = bpe_codes(df, FILE, with_values=True).orderBy("doc_id").collect()
+    coded = bpe_codes(df, FILE, with_ids=True, with_decoded=True).orderBy("doc_id").collect()
     for r, w in zip(coded, want, strict=True):
         assert list(r.ids) == w and r.n_tokens == len(w)
         assert r.ids_sha256 == hashlib.sha256(struct.pack(f"<{len(w)}I", *w)).hexdigest()
@@ -65,6 +65,23 @@ def test_frames(spark, library):
     assert token_counts(empty, FILE).count() == 0 and bpe_codes(empty, FILE).count() == 0
 
 
+def test_null_ids_repeated_rows_and_forgetting(spark, library, monkeypatch):
+    from tidemark.llm import bpe
+
+    rnd = random.Random(9)
+    texts = [" ".join("".join(rnd.choice("inthaer") for _ in range(rnd.randint(1, 9))) for _ in range(40)) for _ in range(60)]
+    rows = [(None, t) for t in texts] + [(7, texts[0])] * 3
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    want = sorted(len(library.encode(t, add_special_tokens=False).ids) for _, t in rows)
+    assert sorted(r.n_tokens for r in bpe_codes(df, FILE).collect()) == want
+    assert sorted(r.n_tokens for r in token_counts(df, FILE).collect()) == want
+    encoder = TrieEncoder(FILE)  # generations so small that they turn over all the time
+    encoder.pieces.most = encoder.words.most = 50
+    monkeypatch.setattr(bpe, "PAIRS", 20)
+    for some in (texts[:20], texts[20:], texts):
+        check(library, encoder, some)
+
+
 def test_other_white_space_among_many_pieces(library):
     # As many pieces vanish as split, so the number of parts stays the same.
     texts = ["alpha", "\u3000", "beta", "prix\u00a0net", "gamma"]

@@ -19,17 +19,19 @@ import json
 import re
 from collections.abc import Iterable, Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.caches import claim
+from tidemark.llm.caches import Recent, claim
 from tidemark.llm.pieces import bytes_of, per_text
 
-#: Pieces that a worker remembers, and words; about 250 MB.
-REMEMBERED, REMEMBERED_WORDS = 600_000, 400_000
-#: Pairs of tokens whose compatibility a worker remembers.
-PAIRS = 2_000_000
+#: Pieces and words in a generation of what a worker remembers (there are two), and pairs of tokens whose
+#: compatibility it remembers: about 170 MB in all.
+REMEMBERED, REMEMBERED_WORDS, PAIRS = 150_000, 100_000, 300_000
+#: Text bytes worked on at once.
+AT_ONCE = 2 << 20
 #: White space of Unicode, and the separators that only Python counts as such.
 _SPACE = re.compile(r"\s")
 
@@ -69,7 +71,8 @@ class Vocabulary:
         self.inner_sizes, self.final_sizes = _Tails(self.inner), _Tails(self.final)
         self._right: dict[int, list[tuple[int, float]]] = {}
         self._left: dict[int, list[tuple[int, float]]] = {}
-        self.pairs: dict[tuple[int, int], bool] = {}
+        #: By left << 32 | right.
+        self.pairs: dict[int, bool] = {}
 
     def _edge(self, token: int, side: int) -> list[tuple[int, float]]:
         """Pieces on one edge of a token, each with the rank of the merge that ends it."""
@@ -87,7 +90,7 @@ class Vocabulary:
         return known[token]
 
     def may_follow(self, left: int, right: int) -> bool:
-        pair = (left, right)
+        pair = left << 32 | right
         known = self.pairs.get(pair)
         if known is None:
             rank = self.rank
@@ -138,9 +141,9 @@ def encode_words(vocabulary: Vocabulary, words: Iterable[str]) -> Iterator[tuple
                     continue
                 if k == n:
                     break
-                pair = (tokens[n - k - 1], token)
-                fits = pairs.get(pair)
-                if fits if fits is not None else may_follow(*pair):
+                left = tokens[n - k - 1]
+                fits = pairs.get(left << 32 | token)
+                if fits if fits is not None else may_follow(left, token):
                     break
             else:
                 raise ValueError(f"no token ends {word[:n]!r}")
@@ -176,8 +179,8 @@ class TrieEncoder:
         self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         library = Tokenizer.from_file(tokenizer_file)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
-        self.pieces: dict[bytes, tuple[int, bytes, bytes]] = {}
-        self.words: dict[str, tuple[int, bytes, bytes]] = {}
+        #: Values are the number of tokens, their ids and their names.
+        self.pieces, self.words = Recent(REMEMBERED), Recent(REMEMBERED_WORDS)
 
     def _value(self, ids: list[int]) -> tuple[int, bytes, bytes]:
         codes, names = self.codes, self.names
@@ -231,10 +234,10 @@ class TrieEncoder:
 
     def learn(self, pieces: list[bytes]) -> None:
         words = self.words
-        if len(words) > REMEMBERED_WORDS:
-            words.clear()
         split = self._split_all(pieces)
-        new = {w for ws in split for w in ws if w not in words and isinstance(w, str)}
+        wanted = {w for ws in split for w in ws if isinstance(w, str)}
+        words.turn(len(wanted))
+        new = words.find(wanted)
         for word, ids in encode_words(self.vocabulary, new):
             words[word] = self._value(ids)
         for piece, found in zip(pieces, split, strict=True):
@@ -252,10 +255,8 @@ class TrieEncoder:
         """Per text: the number of tokens, the ids as little-endian 32-bit integers, the decoded text."""
         split = [t.split() for t in texts]
         wanted = set().union(*split) if split else set()
-        new = [p for p in wanted if p not in self.pieces]
-        if len(self.pieces) + len(new) > REMEMBERED:
-            self.pieces.clear()
-            new = list(wanted)
+        self.pieces.turn(len(wanted))
+        new = self.pieces.find(wanted)
         if new:
             self.learn(new)
         look = self.pieces.__getitem__
@@ -281,40 +282,43 @@ def bpe_codes(
     tokenizer_file: str,
     id_col: str = "doc_id",
     text_col: str = "text",
-    with_values: bool = False,
+    with_ids: bool = False,
+    with_decoded: bool = False,
 ) -> DataFrame:
-    """Per row: id, n_tokens, ids_sha256, decoded_sha256; with_values adds ids (array<int>) and decoded.
+    """Per row: id, n_tokens, ids_sha256, decoded_sha256; and ids (array<int>) or decoded if wanted.
 
-    Null and empty texts have no tokens and decode to the empty text. Repeated rows come back
-    repeated; other columns are not read. A worker holds one batch slice and REMEMBERED pieces.
+    Null and empty texts have no tokens and decode to the empty text. Repeated rows and null ids come back
+    as they are; an empty table gives an empty result; other columns are not read. A worker holds one batch
+    slice and two generations of REMEMBERED pieces.
     """
     kind = docs.schema[id_col].dataType.simpleString()
-    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids", "decoded"] * with_values]
+    names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_decoded]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
-        import numpy as np
-
         claim("bpe", _encoder.cache_clear)
         encoder = _encoder(tokenizer_file)
-        n, ids_sha, decoded_sha, ids, decoded = [], [], [], [], []
+        n, ids_sha, decoded_sha, codes, decoded = [], [], [], [], []
         for count, code, text in encoder.encode(bytes_of(batch, "_text")):
             n.append(count)
             ids_sha.append(hashlib.sha256(code).hexdigest())
             decoded_sha.append(hashlib.sha256(text).hexdigest())
-            if with_values:
-                ids.append(np.frombuffer(code, dtype="<u4").astype(np.int32))
-                decoded.append(text.decode())
+            if with_ids:
+                codes.append(code)
+            if with_decoded:
+                decoded.append(text)
         arrays = [batch.column(0), pa.array(n, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())]
-        if with_values:
-            arrays += [pa.array(ids, pa.list_(pa.int32())), pa.array(decoded, pa.string())]
+        if with_ids:  # the codes already are the values of the lists
+            ends = np.concatenate([[0], np.cumsum(n)]).astype(np.int32)
+            values = pa.Array.from_buffers(pa.int32(), int(ends[-1]), [None, pa.py_buffer(b"".join(codes))])
+            arrays.append(pa.ListArray.from_arrays(pa.array(ends), values))
+        if with_decoded:
+            arrays.append(pa.array(decoded, pa.binary()).cast(pa.string()))
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return source.mapInArrow(
-        per_text("_text", work, 4 << 20),
-        schema + (", ids array<int>, decoded string" if with_values else ""),
-    )
+    schema += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
+    return source.mapInArrow(per_text("_text", work, AT_ONCE), schema)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

@@ -13,6 +13,37 @@ from collections.abc import Callable
 
 import pyarrow as pa
 
+class Recent(dict):
+    """A dict of bounded size that keeps what was used of late: two generations of at most `most` entries.
+
+    `find` moves what it finds in the older generation to the younger one; a full young generation becomes
+    the old one, whose entries go.
+    """
+
+    def __init__(self, most: int):
+        super().__init__()
+        self.most = most
+        self.old: dict = {}
+
+    def turn(self, coming: int) -> None:
+        """Make room for so many entries; those used since the turn before last may go."""
+        if len(self) and len(self) + coming > self.most:
+            self.old = dict(self)
+            self.clear()
+
+    def find(self, keys) -> list:
+        """The keys that aren't known; all others are in the young generation from now on."""
+        old, missing = self.old, []
+        for key in keys:
+            if key not in self:
+                value = old.get(key)
+                if value is None:
+                    missing.append(key)
+                else:
+                    self[key] = value
+        return missing
+
+
 _clear: dict[str, Callable[[], object]] = {}
 _owner: list[str] = [""]
 

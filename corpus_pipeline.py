@@ -59,8 +59,7 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids of every document."""
     import public_tokenizers
 
-    coded = bpe.bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"), with_values=True)
-    return coded.drop("decoded")
+    return bpe.bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
 
 
 STAGES = [

@@ -130,6 +130,27 @@ def test_pipeline(spark, tiny):
     assert ids == leaks
 
 
+def test_pipeline_edges(spark, tiny, tmp_path):
+    rows = spark.read.parquet(f"{tiny}/documents.parquet").where("doc_id in (5, 6, 7, 91)")
+    texts = {r.doc_id: r for r in rows.collect()}
+    odd = [texts[5], texts[6]]
+    kind = rows.schema
+    make = lambda found: spark.createDataFrame(found, kind)
+    # One id with a near copy of another text and with a text of its own; null ids.
+    found = [tuple(odd[0]), (8, odd[0].text + " more", *tuple(odd[0])[2:]), (8, *tuple(odd[1])[1:]), (None, *tuple(texts[7])[1:]), (None, None, *tuple(texts[7])[2:])]
+    docs = make(found)
+    left = corpus_pipeline.drop_near_copies(spark, docs, tiny).collect()
+    assert Counter((r.doc_id, r.text) for r in left) == Counter((f[0], f[1]) for k, f in enumerate(found) if k != 1)
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{tiny}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/{table}.parquet")
+    docs.limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
+    docs.write.parquet(f"{tmp_path}/more/documents.parquet")
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{tiny}/{table}.parquet").limit(0).write.parquet(f"{tmp_path}/more/{table}.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/more").count() == 4  # without labels nothing is rejected
+
+
 def test_scores_from_text_to_probability(spark):
     """A second version by hand: terms, idf, cosines, left-out votes, the curve."""
     rnd = random.Random(2)

@@ -19,7 +19,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, merged
@@ -32,7 +32,7 @@ from tidemark.llm.skew import join_groups
 #: Members of a block; two blocks meet in one group of work.
 BLOCK = 1024
 #: Pairs of one text that are confirmed in one run of rows.
-RUN = 512
+RUN = 64
 
 #: MinHash values, as bands of rows: a pair of similarity 0.75 shares no band with probability 5e-6.
 BANDS, ROWS = 32, 4
@@ -113,17 +113,19 @@ class Sketches:
     def pick(self, which) -> Sketches:
         return Sketches(self.sizes[which], self.halvings[which], self.samples[which], self.words[which])
 
-    def likely(self, i: int, others: Sketches) -> np.ndarray:
-        """Whether set i may be linked with each of the others: by the sizes, and at the same bound by the sketches."""
-        mine = int(self.halvings[i])
-        top = np.maximum(others.halvings, mine)
-        ok = (top - mine <= 1) & (top - others.halvings <= 1)
-        ok &= PER * np.minimum(others.sizes, self.sizes[i]) >= SHARE * np.maximum(others.sizes, self.sizes[i])
+    def likely(self, others: Sketches) -> np.ndarray:
+        """Whether each set may be linked with the other in its place, or a single set with each of the others: by
+        the sizes, and at the same bound by the sketches."""
+        mine = np.broadcast_to(np.arange(len(self.sizes)), len(others.sizes))
+        top = np.maximum(others.halvings, self.halvings)
+        ok = (top - self.halvings <= 1) & (top - others.halvings <= 1)
+        ok &= PER * np.minimum(others.sizes, self.sizes) >= SHARE * np.maximum(others.sizes, self.sizes)
         at = np.flatnonzero(ok)
-        a, b = top[at] - mine, top[at] - others.halvings[at]
+        i, top = mine[at], top[at]
+        a, b = top - self.halvings[i], top - others.halvings[at]
         bits = np.bitwise_count(self.words[i, a] ^ others.words[at, b]).sum(axis=1)
         samples = self.samples[i, a] + others.samples[at, b]
-        ok[at] = bits <= most_bits(samples, top[at])
+        ok[at] = bits <= most_bits(samples, top)
         return ok
 
 
@@ -141,7 +143,7 @@ def arrays(batch: pa.RecordBatch) -> Sketches:
 
 
 def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Per row: id, n_shingles, set_key (equal for equal sets), band keys, odd sketch."""
+    """Per row: id, text_key (a hash of the text), n_shingles, set_key (equal for equal sets), band keys, odd sketch."""
     kind = docs.schema[id_col].dataType.simpleString()
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -149,68 +151,73 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
         for text in bytes_of(batch, "_text"):
             found = shingle_set(text)
             n.append(len(found))
-            keys.append(xxhash.xxh3_128_hexdigest(found.tobytes()))
+            keys.append(set_key(found))
             bands.append(band_keys(minhash(found)))
             for column, x in zip((halvings, samples, words), odd_sketch(found), strict=True):
                 column.append(x)
         return pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())),
+            [batch.column(0), batch.column(1), pa.array(n, pa.int64()), pa.array(keys, pa.string()), pa.array(bands, pa.list_(pa.int64())),
              pa.array(halvings, pa.int32()), pa.array(samples, pa.list_(pa.int32())), pa.array(words, pa.list_(pa.int64()))],
-            names=["id", "n_shingles", "set_key", "bands", "halvings", "samples", "sketch"],
+            names=["id", "text_key", "n_shingles", "set_key", "bands", "halvings", "samples", "sketch"],
         )
 
-    source = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("_text"))
+    text = F.col(text_col)
+    source = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("_text"))
     return source.mapInArrow(
         per_text("_text", work, 4 << 20),
-        f"id {kind}, n_shingles long, set_key string, bands array<long>, "
+        f"id {kind}, text_key long, n_shingles long, set_key string, bands array<long>, "
         "halvings int, samples array<int>, sketch array<long>",
     )
 
 
-def likely(pairs: DataFrame, reps: DataFrame) -> DataFrame:
+def likely(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose odd sketches let them be links."""
-    side = lambda x: reps.select(F.col("rep").alias(x), F.struct(*SKETCH_COLUMNS).alias(f"_{x}"))
+    side = lambda x: classes.select(F.col("node").alias(x), F.struct(*SKETCH_COLUMNS).alias(f"_{x}"))
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    kind = dict(pairs.dtypes)["a"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not len(batch):
-                continue
-            left, right = (arrays(pa.RecordBatch.from_struct_array(batch.column(i))) for i in (2, 3))
-            ok = np.array([left.likely(i, right.pick(slice(i, i + 1)))[0] for i in range(len(batch))])
-            yield batch.select([0, 1]).filter(pa.array(ok))
+            if len(batch):
+                left, right = (arrays(pa.RecordBatch.from_struct_array(batch.column(i))) for i in (2, 3))
+                yield batch.select([0, 1]).filter(pa.array(left.likely(right)))
 
-    return both.select("a", "b", "_a", "_b").mapInArrow(check, f"a {kind}, b {kind}")
+    return both.select("a", "b", "_a", "_b").mapInArrow(check, "a long, b long")
 
 
-def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """The pairs (a, b) whose full sets meet the threshold.
+def set_key(found: np.ndarray) -> str:
+    return xxhash.xxh3_128_hexdigest(found.tobytes())
+
+
+def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """The pairs (a, b) of classes whose full sets meet the threshold.
 
     A worker streams rows sorted so that a's text comes before the texts of its partners; it holds a's
-    set and one partner's. An a with many partners is dealt to several runs.
+    set and one partner's. An a with many partners is dealt to several runs. Where an id has several texts,
+    those of other classes are passed over by the key of their sets.
     """
     degree = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / RUN).alias("runs"))
     dealt = pairs.join(degree, "a").withColumn("run", F.pmod(F.xxhash64("b"), F.col("runs")))
-    wanted = dealt.select("a", "run", F.lit(1).alias("place"), F.col("b").alias("id")).unionByName(
-        dealt.select("a", "run", F.lit(0).alias("place"), F.col("a").alias("id")).distinct()
+    wanted = dealt.select("a", "run", F.lit(1).alias("place"), F.col("b").alias("node")).unionByName(
+        dealt.select("a", "run", F.lit(0).alias("place"), F.col("a").alias("node")).distinct()
     )
+    wanted = wanted.join(classes.select("node", F.col("rep").alias("id"), "set_key"), "node")
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     rows = (
         wanted.join(only_ids(texts, "id", wanted.select("id")), "id")
         .repartition("a", "run")
         .sortWithinPartitions("a", "run", "place")
-        .select("a", "run", "place", "id", "text")
+        .select("a", "run", "place", "node", "set_key", "text")
     )
-    kind = dict(pairs.dtypes)["a"]
 
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, held = None, None
         for batch in batches:
             a, b = [], []
-            columns = [batch.column(i).to_pylist() for i in range(4)]
-            for left, run, place, right, text in zip(*columns, bytes_of(batch, "text"), strict=True):
+            columns = [batch.column(i).to_pylist() for i in range(5)]
+            for left, run, place, right, key, text in zip(*columns, bytes_of(batch, "text"), strict=True):
                 found = shingle_set(text)
+                if set_key(found) != key:
+                    continue
                 if place == 0:
                     current, held = (left, run), found
                     continue
@@ -219,24 +226,23 @@ def confirmed(pairs: DataFrame, docs: DataFrame, id_col: str, text_col: str) ->
                 if both and PER * both >= SHARE * (len(held) + len(found) - both):
                     a.append(left)
                     b.append(right)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(a, batch.schema.field("a").type), pa.array(b, batch.schema.field("a").type)], names=["a", "b"]
-            )
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return rows.mapInArrow(check, f"a {kind}, b {kind}").distinct()
+    return rows.mapInArrow(check, "a long, b long").distinct()
 
 
-def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataFrame:
+def apart_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of a bucket in different components that the sketches let be links: distinct (a, b), a < b.
 
     Of each bucket, the members outside the component of its smallest member meet all members. Both
     sides are cut into blocks; a worker holds two blocks, so no bucket is too large, and only likely
     pairs leave it.
     """
-    known = members.join(labels, members["rep"] == labels["node"], "left").select(
-        "key", "rep", F.coalesce("label", "rep").alias("label")
+    labels = labels.select(F.col("node").alias("_node"), "label")
+    known = members.join(labels, members["node"] == labels["_node"], "left").select(
+        "key", "node", F.coalesce("label", "node").alias("label")
     )
-    parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("rep").alias("least"))
+    parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("least"))
     spread = (
         parts.groupBy("key")
         .agg(
@@ -246,22 +252,20 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
         .where("labels > 1")
         .select("key", "n", "home", (F.col("n") - F.col("inside")).alias("out"))
     )
-    placed = join_groups(known, spread, "key", "n", "rep").where("home is not null")
+    placed = join_groups(known, spread, "key", "n", "node").where("home is not null")
     rows_of = F.ceil(F.col("out") / BLOCK).cast("int")
     cols_of = F.ceil(F.col("n") / BLOCK).cast("int")
-    column = F.pmod(F.xxhash64("rep"), cols_of).cast("int")
-    row = F.pmod(F.xxhash64("rep", F.lit(1)), rows_of).cast("int")
-    every = placed.select("key", "rep", "label", "home", F.lit(1).alias("side"), column.alias("j"), F.explode(F.sequence(F.lit(0), rows_of - 1)).alias("i"))
-    apart = placed.where("label <> home").select("key", "rep", "label", "home", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
+    column = F.pmod(F.xxhash64("node"), cols_of).cast("int")
+    row = F.pmod(F.xxhash64("node", F.lit(1)), rows_of).cast("int")
+    every = placed.select("key", "node", "label", "home", F.lit(1).alias("side"), column.alias("j"), F.explode(F.sequence(F.lit(0), rows_of - 1)).alias("i"))
+    apart = placed.where("label <> home").select("key", "node", "label", "home", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
     cells = (
         every.unionByName(apart)
-        .join(reps.select("rep", *SKETCH_COLUMNS), "rep")
+        .join(classes.select("node", *SKETCH_COLUMNS), "node")
         .repartition("key", "i", "j")
-        .sortWithinPartitions("key", "i", "j", "side", "rep")
-        .select("key", "i", "j", "side", "rep", "label", "home", *SKETCH_COLUMNS)
+        .sortWithinPartitions("key", "i", "j", "side", "node")
+        .select("key", "i", "j", "side", "node", "label", "home", *SKETCH_COLUMNS)
     )
-    kind = dict(members.dtypes)["rep"]
-
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = None
 
@@ -271,7 +275,7 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
             here, others = found.pick(left), found.pick(~left)
             rep_b, label_b, home = rep[~left], label[~left], batch.column(6).to_numpy()
             for x, (mine, name) in enumerate(zip(rep[left], label[left], strict=True)):
-                near = here.likely(x, others) & (label_b != name)
+                near = here.pick(slice(x, x + 1)).likely(others) & (label_b != name)
                 near &= (label_b == home[~left]) | (rep_b > mine)  # two that are apart from home meet twice
                 if near.any():
                     other = rep_b[near]
@@ -293,21 +297,22 @@ def apart_pairs(members: DataFrame, labels: DataFrame, reps: DataFrame) -> DataF
         if held:
             yield from out(_joined(held))
 
-    return cells.mapInArrow(meet, f"a {kind}, b {kind}").distinct()
+    return cells.mapInArrow(meet, "a long, b long").distinct()
 
 
 def _joined(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
     return parts[0] if len(parts) == 1 else pa.Table.from_batches(parts).combine_chunks().to_batches()[0]
 
 
-def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Per row: id, n_shingles, component_id, kept.
+def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", text_keys: bool = False) -> DataFrame:
+    """Per row: id, n_shingles, component_id, kept; with text_keys also text_key, to tell rows of one id apart.
 
     Words are runs of characters other than space and 0x09 to 0x0D, A-Z in lower case. A text's set has its
     distinct five-word shingles; with fewer words the whole sequence; null, empty and blank texts have
     an empty set and are linked with nothing. component_id is the smallest id reachable over links. Ids
     are integers. A null id takes part in nothing: component_id is null and kept true. Rows that repeat
-    an id and text share their result. Other columns are not read.
+    an id and text share their result; rows with one id and different texts are linked each by its own text.
+    An empty table gives an empty result. Other columns are not read.
     """
     table = written(sketches(docs, id_col, text_col), "sketches")
     full = table.where("n_shingles > 0 and id is not null")
@@ -315,23 +320,28 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         F.min("id").alias("rep"), F.count(F.lit(1)).alias("n"),
         F.first("bands").alias("bands"), *[F.first(c).alias(c) for c in SKETCH_COLUMNS],
     )
-    reps = written(classes, "classes")
-    buckets = reps.select("rep", F.explode("bands").alias("key"))
-    keys = buckets.groupBy("key").agg(F.min("rep").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    # The written table fixes the classes' numbers; an id may stand for several classes.
+    classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
+    buckets = classes.select("node", F.explode("bands").alias("key"))
+    keys = buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
     shared = written(
-        join_groups(buckets, keys.select("key", F.col("n"), F.col("least")), "key", "n", "rep").where("n is not null"),
+        join_groups(buckets, keys.select("key", F.col("n"), F.col("least")), "key", "n", "node").where("n is not null"),
         "buckets",
     )
-    stars = shared.where("least < rep").select(F.col("least").alias("a"), F.col("rep").alias("b")).distinct()
-    links = written(confirmed(written(likely(stars, reps), "pairs"), docs, id_col, text_col), "links")
+    stars = shared.where("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    links = written(confirmed(written(likely(stars, classes), "pairs"), classes, docs, id_col, text_col), "links")
     labels = components(links)
-    rest = apart_pairs(shared.select("key", "rep"), labels, reps).join(stars, ["a", "b"], "left_anti")
-    more = written(confirmed(written(rest, "pairs"), docs, id_col, text_col), "links")
-    joined = merged(labels, more)
-    resolved = reps.join(joined, reps["rep"] == joined["node"], "left").select(
-        "set_key", "n", F.coalesce("label", "rep").alias("component")
+    rest = apart_pairs(shared.select("key", "node"), labels, classes).join(stars, ["a", "b"], "left_anti")
+    more = written(confirmed(written(rest, "pairs"), classes, docs, id_col, text_col), "links")
+    joined = written(
+        classes.select("node", "rep").join(merged(labels, more), "node").select("node", "rep", "label"), "labels"
     )
-    found = join_groups(table.select("id", "n_shingles", "set_key"), resolved, "set_key", "n", "id")
+    least = joined.groupBy("label").agg(F.min("rep").alias("component"), F.count(F.lit(1)).alias("members"))
+    named = join_groups(joined, least, "label", "members", "node").select(F.col("node").alias("_node"), "component")
+    resolved = classes.join(named, classes["node"] == named["_node"], "left").select(
+        "set_key", "n", F.coalesce("component", "rep").alias("component")
+    )
+    found = join_groups(table.select("id", "text_key", "n_shingles", "set_key"), resolved, "set_key", "n", "id")
     component = F.when(F.col("n_shingles") > 0, F.col("component")).otherwise(F.col("id"))
     component = F.when(F.col("id").isNotNull(), component)
     return found.select(
@@ -339,8 +349,13 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
         "n_shingles",
         component.alias("component_id"),
         F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"),
+        *["text_key"] * text_keys,
     )
 
 
+def text_key(text: Column) -> Column:
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def op10_near_dedup(spark, sf_dir: str) -> DataFrame:
     return near_dedup(spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text"))

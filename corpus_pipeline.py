@@ -43,8 +43,11 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id."""
-    dropped = near_dedup.near_dedup(docs).where("not kept").select("doc_id")
-    return without_ids(docs, "doc_id", written(dropped, "dropped"))
+    # A row is named by its id and text: an id may stand for several texts, some of them kept.
+    (key,) = _free(docs, "_key")
+    dropped = near_dedup.near_dedup(docs, text_keys=True).where("not kept").select(F.concat_ws(":", "doc_id", "text_key"))
+    keyed = docs.withColumn(key, F.concat_ws(":", "doc_id", near_dedup.text_key(docs["text"])))
+    return without_ids(keyed, key, written(dropped, "dropped")).drop(key)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -13,11 +13,15 @@ FIELDS = (
 
 
 def fingerprint() -> Column:
-    """SHA-256 over the fields, parsed times as microseconds; an absent field is the same as a null one."""
-    parts = [
-        F.coalesce((F.unix_micros(f) if f == "event_time" else F.col(f)).cast("string"), F.lit("\\N")) for f in FIELDS
-    ]
-    return F.sha2(F.concat_ws("|", *parts), 256)
+    """SHA-256 over the fields, times as microseconds; an absent field is the same as a null one.
+
+    Each value comes after its number of bytes, a null one is a dash: no two lists of values read alike.
+    """
+    parts = []
+    for f in FIELDS:
+        value = (F.unix_micros(f) if f == "event_time" else F.col(f)).cast("string")
+        parts.append(F.coalesce(F.concat(F.octet_length(value).cast("string"), F.lit(":"), value), F.lit("-")))
+    return F.sha2(F.concat_ws(",", *parts), 256)
 
 
 def identity_outcomes(events: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.functions.contract import decode_gateway, gateway_invalid, producer_reason, redacted
+from tidemark import model as M
+from tidemark.functions.contract import decode_gateway, gateway_invalid, producer_reason, prohibited_keys, redacted
 from tidemark.functions.tokens import user_token
 
 GOOD = {
@@ -43,6 +44,18 @@ def test_reasons(spark):
     assert short.first().reason == "token_key_too_short"
 
 
+def test_all_spellings_of_prohibited_keys(spark):
+    keys = ["Cookie", "coo\u212aie", "pa\u017fsword", "PA\u00dfWORD", "cvv", "refre\u017fh_token", "cooky", "xcookie", "pan "]
+    texts = [json.dumps({"a": [{k: 1}]}, ensure_ascii=e) for k in keys for e in (True, False)]
+    texts += ['{"\\u0043VC" : 1}', '{"a\\"pan": 1}', '{"a": "pan\\":"}', '{"a":"\\\\","cvc":1}', '{"authorization":1,"access\\u005Ftoken":2}']
+    want = [[f] if (f := k.casefold()) in M.PROHIBITED else [] for k in keys for _ in (0, 1)]
+    want += [["cvc"], [], [], ["cvc"], ["access_token", "authorization"]]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, raw string")
+    found = df.select("i", prohibited_keys(F.col("raw")).alias("k")).orderBy("i")
+    assert [r.k for r in found.collect()] == want
+    assert "Python" not in found._jdf.queryExecution().toString()
+
+
 def test_gateway(spark):
     good = {k: v for k, v in GOOD.items() if k != "user_id"} | {"user_token": "a" * 64}
     cases = [

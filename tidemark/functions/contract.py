@@ -13,21 +13,27 @@ from pyspark.sql import types as T
 from tidemark import model as M
 
 
-def _scan(text: str | None) -> list[str]:
-    """Prohibited keys at any depth, sorted; the exact way for texts with escapes or beyond ASCII."""
-    found: set[str] = set()
-    try:
-        stack = [json.loads(text or "null")]
-    except (ValueError, RecursionError):
-        return []
-    while stack:
-        value = stack.pop()
-        if isinstance(value, dict):
-            found.update(k.casefold() for k in value if k.casefold() in M.PROHIBITED)
-            stack.extend(value.values())
-        elif isinstance(value, list):
-            stack.extend(value)
-    return sorted(found)
+def _spelt(name: str) -> str:
+    """A pattern of all ways to write a key that folds to this name: either case, escaped, or with the letters
+    beyond ASCII that fold to its own (long s, Kelvin sign, sharp s)."""
+    more = {"s": ("017f",), "k": ("212a",), "ss": ("00df", "1e9e")}
+
+    def written(codes: tuple[str, ...]) -> list[str]:
+        return [x for c in codes for x in (chr(int(c, 16)), rf"\\u{c}")]
+
+    def letter(c: str) -> str:
+        codes = {c.lower(), c.upper()}
+        ways = [*sorted(codes), *(rf"\\u{ord(x):04x}" for x in sorted(codes)), *written(more.get(c, ()))]
+        return "(?:" + "|".join(ways) + ")"
+
+    out = "".join(map(letter, name))
+    double = letter("s") * 2
+    return out.replace(double, "(?:" + "|".join([double, *written(more["ss"])]) + ")")
+
+
+def _key(names: tuple[str, ...]) -> str:
+    """A pattern of a key of a JSON text: an opening quote is never escaped, and a colon follows the closing one."""
+    return rf'(?i)(?<!\\)"(?:{"|".join(map(_spelt, names))})"\s*:'
 
 
 def _redact(text: str | None) -> str | None:
@@ -46,24 +52,16 @@ def _redact(text: str | None) -> str | None:
         return None
 
 
-def _scan_texts(texts: Column) -> Column:
-    return F.arrow_udf(lambda a: pa.array([_scan(x) for x in a.to_pylist()], pa.list_(pa.string())), T.ArrayType(T.StringType()))(texts)
-
-
 def redacted(texts: str | Column) -> Column:
     """Redacted JSON texts, in Arrow batches; for quarantined rows only."""
     return F.arrow_udf(lambda a: pa.array([_redact(x) for x in a.to_pylist()], pa.string()), T.StringType())(texts)
 
 
-def prohibited_keys(raw: Column, exact: bool = True) -> Column:
-    """Prohibited keys of a JSON text, sorted. A quoted name and a colon is always a key where nothing is escaped;
-    only other texts take the way through Python, in Arrow batches."""
-    names = "|".join(M.PROHIBITED)
-    found = F.regexp_extract_all(raw, F.lit(f'(?i)"({names})"\\s*:'), F.lit(1))
-    plain = F.array_sort(F.array_distinct(F.transform(found, F.lower)))
-    if not exact:
-        return plain
-    return F.when(raw.rlike(r"[\\]|[^\x00-\x7F]"), _scan_texts(raw)).otherwise(plain)
+def prohibited_keys(raw: Column) -> Column:
+    """Prohibited keys of a JSON text at any depth, sorted. One pattern finds the few texts that have any."""
+    each = [F.when(raw.rlike(_key((name,))), name) for name in sorted(M.PROHIBITED)]
+    none = F.expr("cast(array() as array<string>)")
+    return F.when(raw.rlike(_key(M.PROHIBITED)), F.array_compact(F.array(*each))).otherwise(none)
 
 
 def unknown_keys(raw: Column, allowed: tuple[str, ...]) -> Column:
@@ -96,10 +94,10 @@ def _time_reason(text: Column, field: str) -> Column:
     return F.when(bad, f"invalid_{field}").when(~text.rlike(M.ZONE), f"timezone_required:{field}")
 
 
-def producer_reason(raw: Column, key_bytes: int = 32, sources: list[str] | None = None, exact: bool = True) -> Column:
+def producer_reason(raw: Column, key_bytes: int = 32, sources: list[str] | None = None) -> Column:
     """Why a producer's JSON text is rejected, the first reason in the contract's order; null if it isn't."""
     facts = F.struct(
-        F.json_object_keys(raw).alias("keys"), _texts(raw, M.REQUIRED).alias("f"), prohibited_keys(raw, exact).alias("prohibited")
+        F.json_object_keys(raw).alias("keys"), _texts(raw, M.REQUIRED).alias("f"), prohibited_keys(raw).alias("prohibited")
     )
     return _once(facts, lambda s: _reason(s["keys"], s["f"], s["prohibited"], key_bytes, sources or M.source_ids()))
 
@@ -140,7 +138,7 @@ def decode_gateway(envelopes: DataFrame) -> DataFrame:
     )
 
 
-def gateway_invalid(sources: list[str] | None = None, strict_lengths: bool = False, exact: bool = True) -> Column:
+def gateway_invalid(sources: list[str] | None = None, strict_lengths: bool = False) -> Column:
     """Whether a decoded gateway event breaks the contract. The time zone is looked for in the raw text.
 
     strict_lengths holds optional ids to 128 characters. Secrets at any depth count too.
@@ -149,7 +147,7 @@ def gateway_invalid(sources: list[str] | None = None, strict_lengths: bool = Fal
     checks = [F.json_object_keys(raw).isNull(), *(F.col(f).isNull() for f in M.GATEWAY_REQUIRED)]
     checks += [
         F.size(unknown_keys(raw, (*M.GATEWAY_REQUIRED, *M.OPTIONAL))) > 0,
-        F.size(prohibited_keys(raw, exact)) > 0,
+        F.size(prohibited_keys(raw)) > 0,
         F.col("schema_version") != M.SCHEMA_VERSION,
         ~F.col("event_id").rlike(M.IDENTIFIER),
         ~F.col("source_id").isin(*(sources or M.source_ids())),

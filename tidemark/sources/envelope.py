@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark import model as M
 
+#: Arrivals in a bucket, in which offsets are given out.
+BUCKET = 1 << 18
+
 #: The same adapter in SQL for the other engine. Session time zone UTC.
 ENVELOPE_SQL = """
 base as (select event_id as n, ts as event_time, user_id, event_type as et, value from events),
@@ -51,16 +54,20 @@ def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
         .unionByName(copies(base.where(n % 101 == 0), n + 50, 1, 0))
         .unionByName(copies(base.where(n % 103 == 0), n + 60, 2, 1000))
     )
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(F.col("user_id") % 4).orderBy("arrival_rank", "n", "copy_no")
+    # Offsets in two levels: how many rows the buckets before hold, and the place within the bucket.
+    arrivals = arrivals.withColumns({"_partition": F.col("user_id") % 4, "_bucket": F.floor(F.col("arrival_rank") / BUCKET)})
+    sizes = arrivals.groupBy("_partition", "_bucket").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy("_partition").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_partition", "_bucket", F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    arrivals = arrivals.join(starts, ["_partition", "_bucket"])
+    order = Window.partitionBy("_partition", "_bucket").orderBy("arrival_rank", "n", "copy_no")
     sources = F.array(*[F.lit(s) for s in M.source_ids()])
     kinds = F.create_map(*[F.lit(x) for x in (
         "view", "page_view", "click", "product_view", "purchase", "checkout", "signup", "add_to_cart",
     )])
     return arrivals.select(
         (F.col("user_id") % 4).cast("int").alias("kafka_partition"),
-        (F.row_number().over(order) - 1).cast("long").alias("kafka_offset"),
+        (F.col("_before") + F.row_number().over(order) - 1).cast("long").alias("kafka_offset"),
         F.lit(M.SCHEMA_VERSION).alias("schema_version"),
         F.concat(F.lit("evt-"), n.cast("string")).alias("event_id"),
         F.element_at(sources, (n % 50 + 1).cast("int")).alias("source_id"),

@@ -5,9 +5,12 @@ from __future__ import annotations
 import hashlib
 import json
 from dataclasses import dataclass
+from pathlib import Path
 
 from pyspark.sql import types as T
 
+from tidemark.shapes import listed, one_of, require, shaped, text, whole
+
 # Fixed values of the contract.
 SCHEMA_VERSION = "1.0"
 EVENT_TYPES = ("page_view", "search", "product_view", "add_to_cart", "checkout")
@@ -34,6 +37,24 @@ FAMILIES = (
 SNAPSHOT_TABLES = ("curated_event", "session_version", "engagement_aggregate", "correction_exception")
 LATE, CONFLICT = "beyond_live_watermark", "identity_payload_conflict"
 
+#: Columns of the snapshot tables, and what each is partitioned by: a column, and how it is cut.
+TABLES = {
+    "curated_event": "kafka_partition int, kafka_offset long, schema_version string, event_id string, source_id string, "
+    "user_token string, event_type string, event_time timestamp, arrival_time timestamp, consent_state string, "
+    "page_id string, campaign_id string, beyond_watermark boolean, identity_sha256 string",
+    "session_version": "session_id string, user_token string, started_at timestamp, ended_at timestamp, event_count long, "
+    "first_event_id string, last_event_id string",
+    "engagement_aggregate": "event_date date, event_type string, event_count long, unique_users long, sessions_started_on_date long",
+    "correction_exception": "event_id string, identity_sha256 string, reason string, generation_mode string, status string, "
+    "kafka_partition int, kafka_offset long",
+}
+LAYOUT = {
+    "curated_event": ("event_time", "day", "source_id"),
+    "session_version": ("started_at", "day", "user_token"),
+    "engagement_aggregate": ("event_date", "month", None),
+    "correction_exception": ("status", None, None),
+}
+
 GATEWAY_EVENT = T.StructType([T.StructField(f, T.StringType()) for f in (*GATEWAY_REQUIRED, *OPTIONAL)])
 
 
@@ -46,6 +67,14 @@ def sha256_of(value: object) -> str:
     return hashlib.sha256(canonical_json(value).encode()).hexdigest()
 
 
+RULES = {
+    "version": whole(1), "session_gap_minutes": whole(1), "live_watermark_minutes": whole(1), "target_file_size_mib": whole(1),
+    "required_snapshot_tables": listed(text(".+"), least=4, key=str),
+}
+FAMILY = {"family": text(".+"), "instances": whole(1), "owner": text(".*"), "contract": text(".*"), "lateness_minutes": whole(1)}
+REGISTRY = {"version": one_of(1), "families": listed(shaped(FAMILY), key=lambda f: f["family"])}
+
+
 @dataclass(frozen=True)
 class Rules:
     """Session rules, version 3."""
@@ -57,12 +86,13 @@ class Rules:
     required_snapshot_tables: tuple[str, ...] = SNAPSHOT_TABLES
 
     def __post_init__(self):
-        numbers = (self.version, self.session_gap_minutes, self.live_watermark_minutes, self.target_file_size_mib)
-        if any(isinstance(n, bool) or not isinstance(n, int) or n < 1 for n in numbers):
-            raise ValueError("rule numbers must be positive integers")
-        tables = self.required_snapshot_tables
-        if not tables or len(set(tables)) != len(tables):
-            raise ValueError("snapshot tables must be named once each")
+        require(self.as_dict(), RULES, "session rules")
+
+    @classmethod
+    def parse(cls, document: object) -> Rules:
+        """Rules from a document of the same fields."""
+        require(document, RULES, "session rules")
+        return cls(**document | {"required_snapshot_tables": tuple(document["required_snapshot_tables"])})
 
     def as_dict(self) -> dict:
         return {
@@ -88,3 +118,36 @@ def source_ids(families: tuple = FAMILIES) -> list[str]:
 
 def registry_sha256(families: tuple = FAMILIES) -> str:
     return sha256_of({"version": 1, "families": [list(f) for f in families]})
+
+
+def parse_registry(document: object) -> tuple:
+    """Families (name, instances, owner, lateness in minutes) from a registry document."""
+    require(document, REGISTRY, "source registry")
+    families = tuple((f["family"], f["instances"], f["owner"], f["lateness_minutes"]) for f in document["families"])
+    source_ids(families)
+    return families
+
+
+def registry_document(families: tuple = FAMILIES) -> dict:
+    keys = ("family", "instances", "owner", "lateness_minutes")
+    return {"version": 1, "families": [dict(zip(keys, f, strict=True)) | {"contract": "engagement_event"} for f in families]}
+
+
+def contract_sha256() -> str:
+    """Digest of what the contract fixes."""
+    return sha256_of({
+        "schema_version": SCHEMA_VERSION, "event_types": EVENT_TYPES, "consent_states": CONSENT_STATES, "prohibited": PROHIBITED,
+        "required": REQUIRED, "optional": OPTIONAL, "identifier": IDENTIFIER, "token": TOKEN, "zone": ZONE,
+    })
+
+
+def implementation_sha256() -> str:
+    """Digest of the engine's source files, by name."""
+    root = Path(__file__).parent
+    digest = hashlib.sha256()
+    for path in sorted(root.rglob("*.py")):
+        name = path.relative_to(root).as_posix()
+        if not name.startswith("llm/"):
+            body = path.read_bytes()
+            digest.update(f"{name}:{len(body)}:".encode() + body)
+    return digest.hexdigest()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -59,6 +59,28 @@ def mart_incremental(staging: DataFrame, existing: DataFrame, lookback_days: int
     return existing.join(fresh.select("event_date", "event_type"), ["event_date", "event_type"], "left_anti").unionByName(fresh)
 
 
+def windowed_counts(events: DataFrame, size: str, slide: str | None = None) -> DataFrame:
+    """Events per type and window of time: tumbling ones, or sliding ones that overlap."""
+    window = F.window("event_time", size, slide or size)
+    counted = events.groupBy("event_type", window.alias("w")).agg(F.count(F.lit(1)).alias("n"))
+    return counted.select("event_type", F.col("w.start").alias("start"), F.col("w.end").alias("end"), "n")
+
+
+def places(rows: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """Adds place, from 1 on: each row's place within its key, in order. A key with many rows spreads over many tasks.
+
+    The rows are cut by ranges of (key, order); a row's place is the one within its range and the rows of its
+    key in the ranges before. Rows alike in all of these share a range and get places one after the other.
+    """
+    cut = rows.repartitionByRange(key, *order).withColumn("_range", F.spark_partition_id())
+    sizes = cut.groupBy(key, "_range").agg(F.count(F.lit(1)).alias("_size"))
+    earlier = Window.partitionBy(key).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select(F.col(key).alias("_key"), F.col("_range").alias("_at"), F.coalesce(F.sum("_size").over(earlier), F.lit(0)).alias("_before"))
+    within = Window.partitionBy(key, "_range").orderBy(*order)
+    met = cut.join(F.broadcast(starts), cut[key].eqNullSafe(F.col("_key")) & (cut["_range"] == F.col("_at")))
+    return met.withColumn("place", F.col("_before") + F.row_number().over(within)).select(*rows.columns, "place")
+
+
 def dq_not_null(table: DataFrame, columns: list[str]) -> DataFrame:
     """Per column the rows without a value, in one pass."""
     counted = table.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in columns])

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import shutil
 from dataclasses import dataclass
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +12,9 @@ from tidemark.operators.eventtime import classify_lateness, watermarks
 from tidemark.operators.identity import against_parent, identity_outcomes
 from tidemark.operators.metrics import daily_engagement
 from tidemark.operators.sessions import sessionize
-from tidemark.plans.manifests import Manifest, advance_frontier, check_source_manifest, source_manifest_sha256
+from tidemark.plans.manifests import Manifest, advance_frontier, candidate_branch, check_source_manifest, source_manifest_sha256
+from tidemark.sources.segments import PART
+from tidemark.sources.storage import Storage
 
 CURATED = (
     "kafka_partition", "kafka_offset", "schema_version", "event_id", "source_id", "user_token", "event_type", "event_time",
@@ -137,16 +137,18 @@ def write_generation(
     quarantine: DataFrame | None = None,
     parent: Manifest | None = None,
     rules: M.Rules = M.Rules(),
-    implementation_sha256: str = "0" * 64,
-    contract_sha256: str = "0" * 64,
+    implementation_sha256: str | None = None,
+    contract_sha256: str | None = None,
 ) -> Manifest:
     """Write the tables of a generation as immutable snapshots under `root`; the manifest names them.
 
-    Each table is written once to a candidate folder, measured there and moved to the name of its content. LIVE ranges must have
-    every offset, in the bronze table or in quarantine.
+    Each table is written once to the folder of the candidate's branch, measured there and moved to the name of its content.
+    LIVE ranges must have every offset, in the bronze table or in quarantine. The hashes are those of this engine
+    if none are given.
     """
-    from tidemark.sources.segments import select_ranges, snapshot
+    from tidemark.sources.segments import select_ranges, snapshot, write_laid_out
 
+    files = Storage(root)
     source = check_source_manifest(source_manifest)
     ranges = source["ranges"]
     offsets = advance_frontier(ranges, parent.offsets if parent else [], mode)
@@ -166,15 +168,15 @@ def write_generation(
     names = dict(zip(M.SNAPSHOT_TABLES, ("curated_events", "sessions", "aggregates", "corrections"), strict=True))
     try:
         for table, frame in made.tables().items():
-            candidate = f"{root}/_candidates/{generation_id}/{table}"
-            frame.write.mode("overwrite").option("maxRecordsPerFile", rules.target_file_size_mib << 12).parquet(candidate)
-            snapshots[table], counts[names[table]] = content_id(spark.read.parquet(candidate))
-            final = Path(f"{root}/{table}/{snapshots[table]}")
-            final.parent.mkdir(parents=True, exist_ok=True)
-            if final.exists():
-                shutil.rmtree(candidate)
+            candidate, per_file = f"_candidates/{candidate_branch(generation_id)}/{table}", rules.target_file_size_mib << 12
+            write_laid_out(frame, table, files.url(candidate), per_file)
+            kind = f"{M.TABLES[table]}, {PART} string"
+            snapshots[table], counts[names[table]] = content_id(spark.read.schema(kind).parquet(files.url(candidate)).drop(PART))
+            final = f"{table}/{snapshots[table]}"
+            if files.exists(final):
+                files.remove(candidate)
             else:
-                shutil.move(candidate, final)
+                files.move(candidate, final)
         by_outcome = {r.outcome: r["count"] for r in made.classified.groupBy("outcome").count().collect()}
     finally:
         made.classified.unpersist()
@@ -182,7 +184,8 @@ def write_generation(
     written = snapshot(spark, root, "correction_exception", snapshots["correction_exception"])
     counts["open_corrections"] = written.where("status = 'OPEN'").count()
     return Manifest(
-        generation_id, parent.generation_id if parent else None, mode, implementation_sha256, contract_sha256,
+        generation_id, parent.generation_id if parent else None, mode,
+        implementation_sha256 or M.implementation_sha256(), contract_sha256 or M.contract_sha256(),
         M.registry_sha256(), rules.sha256, source_manifest_sha256(source_manifest), source["bronze_manifest_sha256"],
         ranges, offsets, snapshots, counts,
     ).checked()

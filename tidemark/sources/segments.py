@@ -3,14 +3,16 @@
 from __future__ import annotations
 
 import hashlib
-import json
-from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tidemark import model as M
+from tidemark.shapes import text
 
+#: The column that snapshots are partitioned by.
+PART = "_part"
 #: Ranges up to this number become one OR filter that the scan can push down.
 INLINE_RANGES = 64
 
@@ -29,13 +31,33 @@ def select_ranges(bronze: DataFrame, ranges: list[dict[str, int]]) -> DataFrame:
     return bronze.join(F.broadcast(table), match, "left_semi")
 
 
-def snapshot(spark: SparkSession, root: str, table: str, snapshot_id: str) -> DataFrame:
-    """An immutable snapshot of a table, by its id (a digest, or up to 20 digits)."""
+def snapshot(spark: SparkSession, root: str, table: str, snapshot_id: str, since: str | None = None) -> DataFrame:
+    """An immutable snapshot of a table, by its id (a digest, or up to 20 digits).
+
+    With `since`, a date, only the partitions from then on are read; rows of the first one's month or day may be earlier.
+    """
     from tidemark.plans.manifests import SNAPSHOT_ID
 
-    if not SNAPSHOT_ID.fullmatch(snapshot_id) or table not in (*M.SNAPSHOT_TABLES, "bronze_event", "contract_quarantine"):
+    if not text(SNAPSHOT_ID)(snapshot_id) or table not in (*M.SNAPSHOT_TABLES, "bronze_event", "contract_quarantine"):
         raise ValueError("invalid snapshot")
-    return spark.read.parquet(f"{root}/{table}/{snapshot_id}")
+    path = f"{root}/{table}/{snapshot_id}"
+    if table not in M.TABLES:
+        return spark.read.parquet(path)
+    rows = spark.read.schema(f"{M.TABLES[table]}, {PART} string").parquet(path)
+    column, cut, _ = M.LAYOUT[table]
+    if since is not None:
+        rows = rows.where(F.col(PART) >= since[: len("yyyy-MM-dd" if cut == "day" else "yyyy-MM")]) if cut else rows
+        rows = rows.where(F.col(column) >= F.lit(since).cast("date"))
+    return rows.drop(PART)
+
+
+def write_laid_out(rows: DataFrame, table: str, path: str, per_file: int, buckets: int = 32) -> None:
+    """Write a table partitioned by day, month or value, its rows dealt by bucket: few files a partition, none too large."""
+    column, cut, spread = M.LAYOUT[table]
+    part = F.date_format(column, {"day": "yyyy-MM-dd", "month": "yyyy-MM"}[cut]) if cut else F.col(column)
+    typed = rows.select(*[F.col(c.name).cast(c.dataType) for c in StructType.fromDDL(M.TABLES[table])], part.alias(PART))
+    dealt = [F.col(PART)] + ([F.pmod(F.xxhash64(spread), F.lit(buckets))] if spread else [])
+    typed.repartition(*dealt).write.mode("overwrite").partitionBy(PART).option("maxRecordsPerFile", per_file).parquet(path)
 
 
 def generated(spark: SparkSession, n: int) -> DataFrame:
@@ -124,15 +146,3 @@ def read_segments(spark: SparkSession, root: str, manifest: dict) -> DataFrame:
     return lines.select(
         parsed["partition"].alias("kafka_partition"), parsed["offset"].alias("kafka_offset"), parsed["payload"].alias("raw_json")
     )
-
-
-def read_json(path: str) -> object:
-    return json.loads(Path(path.removeprefix("file://")).read_text(encoding="utf-8"))
-
-
-def write_json(path: str, value: object) -> None:
-    target = Path(path.removeprefix("file://"))
-    if "://" in str(target):
-        raise ValueError("unsupported scheme")
-    target.parent.mkdir(parents=True, exist_ok=True)
-    target.write_text(M.canonical_json(value) + "\n", encoding="utf-8")

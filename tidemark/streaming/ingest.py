@@ -29,19 +29,20 @@ def kafka_source(spark: SparkSession, servers: str, topic: str) -> DataFrame:
         .load()
     )
     return rows.select(
-        F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
+        F.col("topic").alias("kafka_topic"), F.col("partition").alias("kafka_partition"), F.col("offset").alias("kafka_offset"),
         F.col("value").cast("string").alias("raw_json"), F.col("timestamp").alias("kafka_timestamp"),
     )
 
 
-def write_batch(batch: DataFrame, batch_id: int, bronze: str, quarantine: str, exact: bool = True) -> None:
+def write_batch(batch: DataFrame, batch_id: int, bronze: str, quarantine: str) -> None:
     """Write one micro-batch to folders of its own number, so that a repeated batch replaces itself."""
-    checked = decode_gateway(batch).withColumn("_invalid", gateway_invalid(exact=exact)).persist()
+    checked = decode_gateway(batch).withColumn("_invalid", gateway_invalid()).persist()
     try:
+        known = [c for c in ("kafka_topic", "kafka_partition", "kafka_offset", "kafka_timestamp") if c in batch.columns]
         good = parse_times(checked.where(~F.col("_invalid")).drop("_invalid", "raw_json"))
         good.write.mode("overwrite").parquet(f"{bronze}/batch_id={batch_id}")
         bad = checked.where("_invalid").select(
-            "kafka_partition", "kafka_offset", F.sha2("raw_json", 256).alias("payload_sha256"),
+            *known, F.sha2("raw_json", 256).alias("payload_sha256"),
             F.lit("gateway_contract_invalid").alias("reason"),
         )
         bad.write.mode("overwrite").parquet(f"{quarantine}/batch_id={batch_id}")

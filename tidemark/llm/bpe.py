@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.caches import Recent, claim
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 #: Pieces and words in a generation of what a worker remembers (there are two), and pairs of tokens whose
 #: compatibility it remembers: about 170 MB in all.
@@ -173,8 +173,8 @@ class TrieEncoder:
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: t for t, i in self.vocabulary.ids.items()}
         names |= {i: t for t, i in self.added.items()}
-        self.names = {i: t.encode() for i, t in names.items()}
-        self.codes = {i: i.to_bytes(4, "little") for i in names}
+        self.names = [names.get(i, "").encode() for i in range(max(names) + 1)]
+        self.codes = [i.to_bytes(4, "little") for i in range(max(names) + 1)]
         longest_first = sorted(self.added, key=len, reverse=True)
         self.special = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         library = Tokenizer.from_file(tokenizer_file)
@@ -318,7 +318,7 @@ def bpe_codes(
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
-    return source.mapInArrow(per_text("_text", work, AT_ONCE), schema)
+    return small_batches(source).mapInArrow(per_text("_text", work, AT_ONCE), schema)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

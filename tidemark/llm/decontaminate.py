@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.types import ArrayType, BooleanType, DataType, StructField, StructType
 
 from tidemark.llm.caches import claim
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 #: An overlap: so many equal words in so many in a row.
 WINDOW, LEAST_EQUAL = 13, 10
@@ -250,7 +250,7 @@ def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, k
         old = [batch.column(names.index(c)) for c in back]
         return pa.RecordBatch.from_arrays([*old, *new], names=[*back, *added])
 
-    return docs.mapInArrow(per_text(text_col, work, 4 << 20), schema)
+    return small_batches(docs).mapInArrow(per_text(text_col, work, 4 << 20), schema)
 
 
 def op5_decontaminate(spark, sf_dir: str) -> DataFrame:

@@ -5,9 +5,22 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 
 #: An Arrow batch is worked on in slices of at most so many text bytes, one row at least.
 SLICE_BYTES = 8 << 20
+#: Bytes of an Arrow batch: the JVM and the worker each hold one or two of a task's.
+BATCH_BYTES = 8 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(df: DataFrame) -> DataFrame:
+    """The same frame; its session sends Arrow batches of at most BATCH_BYTES from now on, or of less where so set."""
+    conf = df.sparkSession.conf
+    now = conf.get(_BATCH_BYTES)  # as Spark writes it: 256MB, 8388608b, 64k
+    if not (now.rstrip("b").isdigit() and 0 < int(now.rstrip("b")) <= BATCH_BYTES):
+        conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+    return df
 
 
 def text_column(batch: pa.RecordBatch, name: str) -> pa.Array:

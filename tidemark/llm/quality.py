@@ -16,8 +16,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import DoubleType, IntegerType, StructField, StructType
 
+from tidemark.llm.caches import claim
 from tidemark.llm.labelled import held_out, sample
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 THRESHOLD = 0.5
 BINS, PAIR_BINS, PAIRS = 32, 8, 4
@@ -227,6 +228,7 @@ def quality_scores(
     fields = [docs.schema[c] for c in back]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
+        claim("quality", lambda: None)
         x = np.array([features(t) for t in bytes_of(batch, text_col)]).reshape(-1, len(FEATURES))
         score = model.score(x)
         new = [pa.array(score), pa.array((score >= threshold).astype(np.int32))]
@@ -234,7 +236,7 @@ def quality_scores(
         return pa.RecordBatch.from_arrays([*old, *new], names=[*back, *names])
 
     schema = StructType([*fields, StructField(names[0], DoubleType()), StructField(names[1], IntegerType())])
-    return source.mapInArrow(per_text(text_col, work), schema)
+    return small_batches(source).mapInArrow(per_text(text_col, work), schema)
 
 
 def op9_quality(spark, sf_dir: str) -> DataFrame:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.caches import claim
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 #: A context of so many tokens.
 LIMIT = 2048
@@ -88,7 +88,7 @@ def token_counts(
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(
+    return small_batches(source).mapInArrow(
         per_text("_text", work),
         f"`{id_col}` {kind}, n_bytes long, n_tokens long, over_limit boolean",
     )

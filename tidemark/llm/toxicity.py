@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.caches import claim
 from tidemark.llm.labelled import held_out, sample
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 THRESHOLD = 0.7
 #: Nearest examples that vote, and letters of a term.
@@ -360,7 +360,7 @@ def toxicity_scores(
 
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     kind = docs.schema[id_col].dataType.simpleString()
-    return source.mapInArrow(
+    return small_batches(source).mapInArrow(
         per_text("_text", work, 4 << 20),
         f"`{id_col}` {kind}, score double, predicted int, nearest array<struct<id:string,cosine:double,label:int>>",
     )

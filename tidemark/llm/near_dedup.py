@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.components import components, merged
 from tidemark.llm.id_filter import only_ids
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 from tidemark.llm.scratch import written
 from tidemark.llm.shingles import shingle_set
 from tidemark.llm.skew import join_groups
@@ -163,7 +163,7 @@ def sketches(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     text = F.col(text_col)
     source = docs.select(F.col(id_col).alias("id"), text_key(text).alias("text_key"), text.alias("_text"))
-    return source.mapInArrow(
+    return small_batches(source).mapInArrow(
         per_text("_text", work, 4 << 20),
         f"id {kind}, text_key long, n_shingles long, set_key string, bands array<long>, "
         "halvings int, samples array<int>, sketch array<long>",
@@ -234,15 +234,15 @@ def confirmed(pairs: DataFrame, classes: DataFrame, docs: DataFrame, id_col: str
 def apart_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> DataFrame:
     """Pairs of a bucket in different components that the sketches let be links: distinct (a, b), a < b.
 
-    Of each bucket, the members outside the component of its smallest member meet all members. Both
+    Of each bucket, the members outside the component of its leader meet all members. Both
     sides are cut into blocks; a worker holds two blocks, so no bucket is too large, and only likely
-    pairs leave it.
+    pairs leave it. A pair that shares several buckets leaves the one with the smallest key.
     """
     labels = labels.select(F.col("node").alias("_node"), "label")
     known = members.join(labels, members["node"] == labels["_node"], "left").select(
-        "key", "node", F.coalesce("label", "node").alias("label")
+        "key", "node", "rep", F.coalesce("label", "node").alias("label")
     )
-    parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min("node").alias("least"))
+    parts = known.groupBy("key", "label").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct("rep", "node")).alias("least"))
     spread = (
         parts.groupBy("key")
         .agg(
@@ -261,24 +261,31 @@ def apart_pairs(members: DataFrame, labels: DataFrame, classes: DataFrame) -> Da
     apart = placed.where("label <> home").select("key", "node", "label", "home", F.lit(0).alias("side"), row.alias("i"), F.explode(F.sequence(F.lit(0), cols_of - 1)).alias("j"))
     cells = (
         every.unionByName(apart)
-        .join(classes.select("node", *SKETCH_COLUMNS), "node")
+        .join(classes.select("node", *SKETCH_COLUMNS, "bands"), "node")
         .repartition("key", "i", "j")
         .sortWithinPartitions("key", "i", "j", "side", "node")
-        .select("key", "i", "j", "side", "node", "label", "home", *SKETCH_COLUMNS)
+        .select("key", "i", "j", "side", "node", "label", "home", *SKETCH_COLUMNS, "bands")
     )
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cell = None
 
         def out(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-            rep, label, left = batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(3).to_numpy() == 0
+            node, label, left = batch.column(4).to_numpy(), batch.column(5).to_numpy(), batch.column(3).to_numpy() == 0
             found = arrays(batch)
             here, others = found.pick(left), found.pick(~left)
-            rep_b, label_b, home = rep[~left], label[~left], batch.column(6).to_numpy()
-            for x, (mine, name) in enumerate(zip(rep[left], label[left], strict=True)):
+            bands = batch.column(batch.num_columns - 1).flatten().to_numpy().reshape(len(batch), BANDS)
+            key, bands_a, bands_b = batch.column(0)[0].as_py(), bands[left], bands[~left]
+            node_b, label_b, home = node[~left], label[~left], batch.column(6).to_numpy()
+            for x, (mine, name) in enumerate(zip(node[left], label[left], strict=True)):
                 near = here.pick(slice(x, x + 1)).likely(others) & (label_b != name)
-                near &= (label_b == home[~left]) | (rep_b > mine)  # two that are apart from home meet twice
-                if near.any():
-                    other = rep_b[near]
+                near &= (label_b == home[~left]) | (node_b > mine)  # two that are apart from home meet twice
+                at = np.flatnonzero(near)
+                if not len(at):
+                    continue
+                own = bands_a[x]
+                first = np.where(bands_b[at] == own, own, np.iinfo(np.int64).max).min(axis=1) == key
+                if first.any():
+                    other = node_b[at[first]]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.minimum(other, mine)), pa.array(np.maximum(other, mine))], names=["a", "b"]
                     )
@@ -322,16 +329,16 @@ def near_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     )
     # The written table fixes the classes' numbers; an id may stand for several classes.
     classes = written(classes.withColumn("node", F.monotonically_increasing_id()), "classes")
-    buckets = classes.select("node", F.explode("bands").alias("key"))
-    keys = buckets.groupBy("key").agg(F.min("node").alias("least"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    shared = written(
-        join_groups(buckets, keys.select("key", F.col("n"), F.col("least")), "key", "n", "node").where("n is not null"),
-        "buckets",
-    )
-    stars = shared.where("least < node").select(F.col("least").alias("a"), F.col("node").alias("b")).distinct()
+    buckets = classes.select("node", "rep", F.explode("bands").alias("key"))
+    # A bucket's leader is its class with the smallest id: of copies the original often comes first.
+    leader = F.min_by("node", F.struct("rep", "node")).alias("leader")
+    keys = buckets.groupBy("key").agg(leader, F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = written(join_groups(buckets, keys, "key", "n", "node").where("n is not null"), "buckets")
+    stars = shared.where("leader <> node").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = written(confirmed(written(likely(stars, classes), "pairs"), classes, docs, id_col, text_col), "links")
     labels = components(links)
-    rest = apart_pairs(shared.select("key", "node"), labels, classes).join(stars, ["a", "b"], "left_anti")
+    met = stars.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rest = apart_pairs(shared.select("key", "node", "rep"), labels, classes).join(met, ["a", "b"], "left_anti")
     more = written(confirmed(written(rest, "pairs"), classes, docs, id_col, text_col), "links")
     joined = written(
         classes.select("node", "rep").join(merged(labels, more), "node").select("node", "rep", "label"), "labels"

@@ -2,7 +2,8 @@
 
 A page becomes a tree of elements. Each node's density is its characters per tag, adjusted for the
 share that links hold: with C characters, T tags, LC characters and LT tags of links,
-C/T * log base ln(C/nonlink*LC + LCb/Cb*C + e) of (C/LC * T/LT). A node's sum adds its children's
+C/T * log base ln(C/nonlink*LC + LCb/Cb*C + e) of (C/LC * T/LT); the base is at least LEAST_BASE, which
+matters for short texts on pages with few links. A node's sum adds its children's
 densities. The body's density sets the threshold: among the nodes on the path from the body to the densest node,
 those at least as dense as the least dense one of that path may hold the main text; of them the one
 with the largest sum is taken, or the article element that it is in, or the outermost element around it that
@@ -21,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.pieces import bytes_of, per_text
+from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 # Fixed: names of the markup language.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -72,6 +73,10 @@ _NAMED = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|
 _HIDDEN = re.compile(r"(?:^|\s)hidden(?:\s|=|$)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
 
 
+#: The least base of the logarithm: at 1 it would have none.
+LEAST_BASE = 2.0
+
+
 @dataclass
 class Node:
     """An element: its children are nodes and texts in page order."""
@@ -220,6 +225,12 @@ def _sizes(root: Node) -> list[Node]:
     return order
 
 
+def density(c: int, t: int, lc: int, lt: int, ratio: float, plain: int, linked: int) -> float:
+    """Composite text density of c characters and t tags, of which lc and lt (1 at least) of links; `ratio` is the body's share of links."""
+    base = max(math.log(c / max(plain, 1) * linked + ratio * c + math.e), LEAST_BASE)
+    return c / t * max(math.log(c / lc * t / lt), 0.0) / math.log(base)
+
+
 def main_node(root: Node) -> Node:
     """The subtree with the main text."""
     order = _sizes(root)
@@ -229,8 +240,7 @@ def main_node(root: Node) -> Node:
         c, t, lc, lt = n.chars, max(n.tags, 1), max(n.link_chars, 1), max(n.link_tags, 1)
         if not n.chars:
             continue
-        base = math.log(c / max(n.chars - n.link_chars, 1) * n.link_chars + ratio * c + math.e)
-        n.density = c / t * math.log(max(c / lc * t / lt, 1.0)) / max(base, 1.0)
+        n.density = density(c, t, lc, lt, ratio, n.chars - n.link_chars, n.link_chars)
     parents: dict[int, Node] = {}
     for n in order:
         for part in n.parts:
@@ -340,7 +350,7 @@ def page_texts(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
         )
 
     source = pages.select(F.col(id_col).alias("_id"), F.col(url_col).alias("_url"), F.col(html_col).alias("_html"))
-    return source.mapInArrow(
+    return small_batches(source).mapInArrow(
         per_text("_html", work), f"`{id_col}` {id_kind}, `{url_col}` {url_kind}, text string, n_chars long"
     )
 

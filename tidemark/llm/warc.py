@@ -20,8 +20,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.scratch import new_path
 from tidemark.llm.skew import join_groups
 
-#: Records in a file: it is read into memory whole. Groups of equal payloads that may be broadcast.
-RECORDS_PER_FILE, BROADCAST_GROUPS = 2000, 200_000
+#: A file is read into memory whole: at most so many records with payloads of at most so many bytes are in one, 32 MiB
+#: and their headers in all; larger payloads have files of their own.
+SIZES = ((16 << 10, 2000), (512 << 10, 64), (1 << 31, 1))
+#: Groups of equal payloads that may be broadcast.
+BROADCAST_GROUPS = 200_000
 #: Fixed values of the format.
 VERSION = "WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -114,12 +117,18 @@ def write_warc(
 ) -> None:
     """Write one record per row, deduplicated, as files of WARC text in the folder `path`.
 
-    Null payloads are empty. Rows that repeat an id and payload are all responses if the id is the
+    Payloads of like sizes share files (SIZES), in one folder per size. Null payloads are empty; an empty table gives
+    an empty archive. Rows that repeat an id and payload are all responses if the id is the
     smallest, else all revisits. A null id is written without X-Page-ID; it is no original unless all ids of
     the group are null, and then none is a revisit. Other columns are not read.
     """
-    out = records(resolved(pages, id_col, url_col, payload_col, least_bytes))
-    out.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", RECORDS_PER_FILE).text(path)
+    rows = resolved(pages, id_col, url_col, payload_col, least_bytes)
+    low = -1
+    for most, per_file in SIZES:
+        # A revisit has no payload, so its record is small.
+        some = rows.where(F.when(F.col("_original").isNull(), F.col("_bytes")).otherwise(0).between(low + 1, most))
+        records(some).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(f"{path}/upto-{most}")
+        low = most
 
 
 def parse(data: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
@@ -167,7 +176,10 @@ def read_warc(spark: SparkSession, path: str, with_payload: bool = False) -> Dat
                 kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds, strict=False)], names=names)
 
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("content")
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", "true")
+        .load(path).select("content")
+    )
     schema = "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long"
     return files.mapInArrow(read, schema + (", payload string" if with_payload else ""))
 

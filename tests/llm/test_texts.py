@@ -2,10 +2,13 @@
 
 import base64
 import hashlib
+import math
 import random
 import re
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate as D
 from tidemark.llm import pii as P
@@ -13,6 +16,53 @@ from tidemark.llm.html_text import main_text, page_texts
 from tidemark.llm.warc import read_warc, write_warc
 
 
+def slow_density(node, body):
+    """A second version: the sums of a node worked out anew from the texts and tags below it."""
+
+    def texts(n, linked=False):
+        linked = linked or n.tag == "a"
+        for p in n.parts:
+            if isinstance(p, str):
+                yield len(p.replace(" ", "").replace("\n", "")), linked
+            elif not p.beside:
+                yield from texts(p, linked)
+
+    def tags(n):
+        for p in n.parts:
+            if not isinstance(p, str) and not p.beside:
+                yield p.tag
+                yield from tags(p)
+
+    inside = list(texts(node))
+    c, linked = sum(n for n, _ in inside), sum(n for n, a in inside if a)
+    below = list(tags(node))
+    t, lt = len(below) or 1, below.count("a") + (node.tag == "a") or 1
+    whole = list(texts(body))
+    ratio = sum(n for n, a in whole if a) / (sum(n for n, _ in whole) or 1)
+    if not c:
+        return 0.0
+    base = max(2.0, math.log(c * linked / ((c - linked) or 1) + ratio * c + math.e))
+    return c / t * max(0.0, math.log((c / (linked or 1)) * (t / lt), base))
+
+
+def test_density_by_a_second_version():
+    from tidemark.llm import html_text as H
+
+    rnd = random.Random(4)
+    some = ["<div>", "</div>", "<p>", "<a href=x>a link</a>", "<a href=y><b>other</b> link</a>", "<ul><li>", "</ul>", "some words ", "more, and more text. " * 5, "<b>x</b>"]
+    for _ in range(60):
+        page = f"<html><body>{''.join(rnd.choice(some) for _ in range(60))}</body></html>"
+        nodes, twins = [H.tree(page)], [H.tree(page)]
+        for all_ in (nodes, twins):
+            for n in all_:
+                all_ += [p for p in n.parts if not isinstance(p, str) and not p.beside]
+        H.main_node(nodes[0])  # may put further nodes aside, once all are measured
+        body = next(n for n in twins if n.tag == "body")
+        for n, twin in zip(nodes, twins, strict=True):
+            if n.tag not in ("a", "b"):
+                assert n.density == pytest.approx(slow_density(twin, body))
+
+
 @pytest.mark.parametrize("page, text", [
     ("", ""), ("plain", "plain"), ("<p>a<p>b", "a\nb"), ("<b>a <i>b</i></b>c", "a bc"),
     ("<nav>menu</nav><article><h1>T</h1><p>One &amp; two<br>three</p></article><footer>f</footer>", "T\nOne & two three"),
@@ -63,6 +113,26 @@ def test_warc(spark, tmp_path, monkeypatch, broadcast):
     assert read_warc(spark, str(tmp_path / "e")).count() == 0
 
 
+def test_warc_sizes_repeats_and_null_ids(spark, tmp_path, monkeypatch):
+    from tidemark.llm import warc
+
+    monkeypatch.setattr(warc, "SIZES", ((10, 3), (1000, 2), (1 << 31, 1)))
+    big = "long " * 4000
+    rows = [(i, "u", "x" * (i % 14)) for i in range(40)] + [(50 + i, "u", "y" * (100 + i)) for i in range(7)]
+    rows += [(70, "u", big), (71, "u", big), (72, "u", big + "!"), (71, "u", big), (None, "u", big), (None, "u", "none else"), (None, "u", "none else")]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    write_warc(df.repartition(2), str(tmp_path / "w"))
+    got = sorted((r.page_id is None, r.page_id or 0, r.record_type, r.refers_to) for r in read_warc(spark, str(tmp_path / "w")).collect())
+    want = []
+    for page_id, _, html in rows:
+        same = [i for i, _, h in rows if h == html and i is not None]
+        revisit = same and page_id != min(same)
+        want.append((page_id is None, page_id or 0, "revisit" if revisit else "response", min(same) if revisit else None))
+    assert got == sorted(want, key=lambda w: (w[0], w[1], w[2], w[3] is None, w[3] or 0))
+    files = [f for f in (tmp_path / "w").rglob("part-*") if f.stat().st_size]
+    assert all(f.read_bytes().count(b"WARC/1.1\r\n") <= (1 if "upto-2147483648" in str(f) else 3) for f in files)
+
+
 def test_masks_catch_every_overlap():
     from itertools import combinations
 
@@ -137,6 +207,21 @@ def test_pii(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_pii_long_texts_and_tables(spark):
+    model = P.train(spark)
+    many = " ".join(f"user{i}@host{i % 7}.org, 10.0.{i % 256}.{i % 255}" for i in range(1500))
+    df = spark.createDataFrame([(1, many, 5, "x"), (1, many, 5, "x"), (None, "a@b.co", 5, "x")], "doc_id long, text string, base int, added string")
+    rows = P.find_pii(df, model).collect()
+    assert len(rows) == 3
+    for r in rows:
+        assert [(s.kind, s.start, s.end) for s in r.base] == base_spans(r.text)
+    assert P.find_pii(df.where("doc_id = 9"), model).count() == 0
+    addresses = " ".join(f"u{i}@h.org" for i in range(200_000))
+    began = time.time()
+    sizes = P.find_pii(spark.createDataFrame([(1, addresses)], "doc_id long, text string"), model).select(F.size("base").alias("n")).collect()
+    assert sizes[0].n == 200_000 and time.time() - began < 120
+
+
 def test_trees_hold_out():
     import numpy as np
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import near_dedup as N
 from tidemark.llm.components import components, merged
-from tidemark.llm.exact_dedup import exact_dedup
+from tidemark.llm.exact_dedup import BITS_A_ROW, BLOCK_BITS, LEAST_BLOCKS, MOST_BLOCKS, blocks_for, exact_dedup
 from tidemark.llm.id_filter import only_ids, without_ids
 from tidemark.llm.skew import join_groups
 
@@ -34,6 +34,12 @@ def test_exact(spark):
             assert r.row.doc_id == r.doc_id and r.row.kept == "x"
 
 
+def test_filter_grows_with_the_rows_up_to_its_bound():
+    assert blocks_for(0) == blocks_for(1000) == LEAST_BLOCKS and blocks_for(10**12) == MOST_BLOCKS
+    for rows in (10**6, 10**7, 10**8):
+        assert BITS_A_ROW * rows <= blocks_for(rows) * BLOCK_BITS < 2 * BITS_A_ROW * rows
+
+
 def test_exact_edges(spark):
     rows = [(None, "a"), (1, "a"), (1, "a"), (None, "b"), (2, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string")

@@ -3,8 +3,9 @@
 Pass 1 counts, for every text hash, two bits of a blocked Bloom filter and keeps the bits that more
 than one row sets. Pass 2 tests every row: one whose two bits were not both set by someone else is
 alone, and passes straight through. The others shuffle (id and hash) and are grouped by SHA-256, so a
-false positive costs a shuffled row and never a wrong result. The filter has a fixed number of bits:
-it is broadcast at a size that does not depend on the rows; as it fills up, more rows shuffle.
+false positive costs a shuffled row and never a wrong result. The filter has about BITS_A_ROW bits a
+row, by the table's own count, up to MOST_BLOCKS blocks: it is broadcast, so its size must have an end.
+Beyond that it fills up and more rows shuffle; results stay the same.
 """
 
 from __future__ import annotations
@@ -18,8 +19,11 @@ from tidemark.llm.skew import join_groups
 
 #: Bits in a block, fixed by Spark's bitmap functions.
 BLOCK_BITS = 32768
-#: Blocks: 4096 blocks are 2**27 bits, 16 MiB broadcast.
-BLOCKS = 4096
+#: Bits for a row: with 8, a text that is alone shuffles once in 20 times.
+BITS_A_ROW = 8
+#: Fewest and most blocks: 256 KiB and 128 MiB broadcast. The most has BITS_A_ROW for 1.3 * 10**8 rows, and at
+#: 10**9 rows a quarter of the lone ones still pass straight through.
+LEAST_BLOCKS, MOST_BLOCKS = 64, 32768
 
 
 def _block(h: Column, blocks: int) -> Column:
@@ -32,7 +36,13 @@ def _bits(h: Column) -> list[Column]:
     ]
 
 
-def repeated_bits(hashes: DataFrame, blocks: int = BLOCKS) -> DataFrame:
+def blocks_for(rows: int) -> int:
+    """Blocks of the filter for so many rows: a power of two between LEAST_BLOCKS and MOST_BLOCKS."""
+    wanted = max(1, -(-rows * BITS_A_ROW // BLOCK_BITS))
+    return min(MOST_BLOCKS, max(LEAST_BLOCKS, 1 << (wanted - 1).bit_length()))
+
+
+def repeated_bits(hashes: DataFrame, blocks: int) -> DataFrame:
     """Pass 1 over column `_h`: per block, the bitmap of the bits that at least two rows set."""
     bits = hashes.select(
         _block(F.col("_h"), blocks).alias("_block"), F.explode(F.array(*_bits(F.col("_h")))).alias("_bit")
@@ -51,15 +61,17 @@ def exact_dedup(
     id_col: str = "doc_id",
     text_col: str = "text",
     carry: Sequence[str] = (),
-    blocks: int = BLOCKS,
+    blocks: int | None = None,
 ) -> DataFrame:
     """One row per row of `docs`: id, keep_id, group_size, kept, text_sha256 and `row` (the carried columns).
 
     Texts are equal when identical; null counts as empty. Of equal texts the largest id stays; a null
     id stays only if all ids of the group are null. Rows that repeat id and text are one document:
     they count in group_size and share the decision. An empty table gives an empty result. Only the
-    named columns are read, so other columns may have any name.
+    named columns are read, so other columns may have any name. Without `blocks` the rows are counted
+    first, which a Parquet table answers from its footers.
     """
+    blocks = blocks or blocks_for(docs.count())
     text = F.coalesce(F.col(text_col), F.lit(""))
     source = docs.select(
         F.col(id_col).alias("_id"),

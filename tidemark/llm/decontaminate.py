@@ -7,23 +7,31 @@ when some WINDOW words in a row have LEAST_EQUAL equal ones. The masks together
 with exactly LEAST_EQUAL equal words in WINDOW, wherever the others are.
 
 The benchmark is the query set: it is taken in blocks of bounded size, and each block meets all
-documents in one pass without a shuffle.
+documents in one pass without a shuffle. The driver holds one block at a time. A benchmark of one block
+takes one pass; of a larger one, each pass writes the hits of its block by the hash of the text, and
+only documents whose text may be among the hits shuffle to be marked.
 """
 
 from __future__ import annotations
 
 import functools
 import pickle
+from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DataType, StructField, StructType
 
 from tidemark.llm.caches import claim
+from tidemark.llm.id_filter import split_by_ids
 from tidemark.llm.pieces import bytes_of, per_text, small_batches
+from tidemark.llm.scratch import written
+from tidemark.llm.skew import join_groups
 
 #: An overlap: so many equal words in so many in a row.
 WINDOW, LEAST_EQUAL = 13, 10
@@ -41,8 +49,10 @@ MASKS = (
 )
 #: Items of fewer words than WINDOW may differ in the same share of words; of fewer than TOLERANT, in none.
 LEAST_WORDS, TOLERANT = 1, 7
-#: Bytes of benchmark text in a block, and bits of a hash that pick a slot of the first test.
-BLOCK_BYTES, SLOT_BITS = 8 << 20, 22
+#: Bytes of benchmark text in a block (one longer item is a block by itself): some 3 million seeds, 50 MB in a worker.
+BLOCK_BYTES = 2 << 20
+#: Least and most bits of a hash that pick a slot of the first test.
+SLOT_BITS = 16, 25
 #: Words whose hashes a worker remembers.
 REMEMBERED = 200_000
 
@@ -96,8 +106,10 @@ class Block:
     places: np.ndarray
 
     def __post_init__(self):
-        self.slots = np.zeros(1 << SLOT_BITS, dtype=bool)
-        self.slots[(self.hashes >> np.uint64(64 - SLOT_BITS)).astype(np.int64)] = True
+        bits = min(SLOT_BITS[1], max(SLOT_BITS[0], (8 * len(self.hashes)).bit_length()))
+        self.shift = np.uint64(64 - bits)
+        self.slots = np.zeros(1 << bits, dtype=bool)
+        self.slots[(self.hashes >> self.shift).astype(np.int64)] = True
 
     def matches(self, texts: list[bytes]) -> list[set[int]]:
         """Per text the numbers of the items that it overlaps."""
@@ -115,7 +127,7 @@ class Block:
         tried: set[tuple[int, int]] = set()
         for number, mask in enumerate(self.masks):
             s = seeds(h, mask, number)
-            near = np.flatnonzero(self.slots[(s >> np.uint64(64 - SLOT_BITS)).astype(np.int64)])
+            near = np.flatnonzero(self.slots[(s >> self.shift).astype(np.int64)])
             if not len(near):
                 continue
             low = np.searchsorted(self.hashes, s[near], "left")
@@ -168,35 +180,33 @@ def make_block(rows: list[tuple[object, bytes]]) -> Block:
             if (len(w) >= WINDOW) if number < len(MASKS) else len(w) == short_ones[number - len(MASKS)][0]:
                 s = seeds(w, mask, number)
                 hashes.append(s)
-                items.append(np.full(len(s), i, dtype=np.int64))
-                places.append(np.arange(len(s)))
+                items.append(np.full(len(s), i, dtype=np.int32))
+                places.append(np.arange(len(s), dtype=np.int32))
     if not hashes:
-        return Block([i for i, _ in rows], words, [], *(np.zeros(0, dtype=k) for k in (np.uint64, np.int64, np.int64)))
+        return Block([i for i, _ in rows], words, [], *(np.zeros(0, dtype=k) for k in (np.uint64, np.int32, np.int32)))
     h = np.concatenate(hashes)
     order = np.argsort(h, kind="stable")
     return Block([i for i, _ in rows], words, masks, h[order], np.concatenate(items)[order], np.concatenate(places)[order])
 
 
-def blocks_of(benchmark: DataFrame, id_col: str, text_col: str) -> list[bytes]:
-    """The benchmark as pickled blocks; null texts are empty, and match nothing."""
-    blocks: list[bytes] = []
+def blocks_of(benchmark: DataFrame, id_col: str, text_col: str) -> Iterator[bytes]:
+    """The benchmark's ids and texts in pickled blocks, one after the other; null texts are empty, and match nothing."""
     rows: list[tuple[object, bytes]] = []
     held = 0
     for row in benchmark.select(id_col, text_col).toLocalIterator():
         text = (row[1] or "").encode()
         if rows and held + len(text) > BLOCK_BYTES:
-            blocks.append(pickle.dumps(make_block(rows)))
+            yield pickle.dumps(rows)
             rows, held = [], 0
         rows.append((row[0], text))
         held += len(text)
     if rows:
-        blocks.append(pickle.dumps(make_block(rows)))
-    return blocks
+        yield pickle.dumps(rows)
 
 
-@functools.lru_cache(maxsize=2)
+@functools.lru_cache(maxsize=1)
 def _block(pickled: bytes) -> Block:
-    return pickle.loads(pickled)
+    return make_block(pickle.loads(pickled))
 
 
 def _forget() -> None:
@@ -218,21 +228,46 @@ def decontaminate(
     Input columns of these names give way; without keep_text the texts stay behind. Words are compared
     in lower case and without the marks around them. Null and empty texts overlap nothing; an empty
     benchmark marks nothing; items without words, or with a null id, never match.
-    Items with equal texts are all named. Rows don't shuffle; repeated rows come back repeated.
+    Items with equal texts are all named. Repeated rows come back repeated. A benchmark of several blocks
+    reads `docs` once a block and twice more, so let it be a written table then.
     """
     clean = docs.select(*[c for c in docs.columns if c.lower() not in {n.lower() for n in names}])
     item_kind = benchmark.schema[item_id_col].dataType
     blocks = blocks_of(benchmark.where(benchmark[item_id_col].isNotNull()), item_id_col, item_text_col)
-    out = clean
-    passes = blocks or [pickle.dumps(make_block([]))]
-    for k, block in enumerate(passes):
-        out = _pass(out, block, text_col, item_kind, keep_text or k + 1 < len(passes), names)
-    return out
+    first = next(blocks, pickle.dumps([]))
+    second = next(blocks, None)
+    if second is None:
+        return _pass(clean, first, text_col, item_kind, keep_text, names)
+    return _in_turns(clean, chain([first, second], blocks), text_col, item_kind, keep_text, names)
+
+
+def _in_turns(docs: DataFrame, blocks: Iterator[bytes], text_col: str, item_kind: DataType, keep_text: bool, added: tuple[str, str]) -> DataFrame:
+    key = F.sha2(F.coalesce(F.col(text_col), F.lit("")).cast("binary"), 256).alias("_key")
+    texts = docs.select(key, F.col(text_col).alias("_text"))
+    parts = []
+    for block in blocks:
+        hits = _pass(texts, block, "_text", item_kind, False, ("_items", "_hit")).where("_hit")
+        parts.append(written(hits.groupBy("_key").agg(F.any_value("_items").alias("_items"), F.count("*").alias("_n")), "hits"))
+    hits = functools.reduce(DataFrame.unionByName, parts)
+    found = hits.groupBy("_key").agg(
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("_items")))).alias("_items"), F.max("_n").alias("_n")
+    )
+    found = written(found, "leaks")
+    back = [c for c in docs.columns if keep_text or c != text_col]
+    spread = [c for c, kind in docs.dtypes if c != text_col and "map<" not in kind and "variant" not in kind]
+    rows = docs.select(key, F.xxhash64(*spread or [F.lit(0)]).alias("_spread"), F.struct(*back or [F.lit(0).alias("_none")]).alias("_row"))
+    clear, maybe = split_by_ids(rows, "_key", found.select("_key"))
+    clear = clear.select("_row", F.lit(None).cast(ArrayType(item_kind)).alias("_items"))
+    marked = clear.unionByName(join_groups(maybe, found, "_key", "_n", "_spread").select("_row", "_items"))
+    return marked.select(
+        *[F.col("_row").getField(c).alias(c) for c in back],
+        F.coalesce("_items", F.array().cast(ArrayType(item_kind))).alias(added[0]),
+        F.col("_items").isNotNull().alias(added[1]),
+    )
 
 
 def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, keep_text: bool, added: tuple[str, str]) -> DataFrame:
-    given = [c for c in docs.columns if c not in added]
-    back = [c for c in given if keep_text or c != text_col]
+    back = [c for c in docs.columns if keep_text or c != text_col]
     schema = StructType(
         [*(docs.schema[c] for c in back), StructField(added[0], ArrayType(item_kind)), StructField(added[1], BooleanType())]
     )
@@ -243,9 +278,7 @@ def _pass(docs: DataFrame, pickled: bytes, text_col: str, item_kind: DataType, k
         claim("decontaminate", _forget)
         block = _block(pickled)
         names = batch.schema.names
-        before = batch.column(names.index(added[0])).to_pylist() if added[0] in names else [()] * len(batch)
-        found = block.matches(bytes_of(batch, text_col))
-        items = [sorted({*b, *(block.ids[i] for i in f)}) for b, f in zip(before, found, strict=True)]
+        items = [sorted({block.ids[i] for i in found}) for found in block.matches(bytes_of(batch, text_col))]
         new = [pa.array(items, pa.list_(to_arrow_type(item_kind))), pa.array([bool(i) for i in items])]
         old = [batch.column(names.index(c)) for c in back]
         return pa.RecordBatch.from_arrays([*old, *new], names=[*back, *added])

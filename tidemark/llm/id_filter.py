@@ -41,8 +41,8 @@ def only_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     )
 
 
-def without_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
-    """Rows whose id isn't among `ids` (its one column). Rows that the filter rules out don't shuffle."""
+def split_by_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Rows whose id isn't among `ids` (its one column), and rows whose id may be. Nothing shuffles but `ids`."""
     own = F.xxhash64(rows[id_col])
     name = "_maybe_gone"
     while name in rows.columns:
@@ -50,6 +50,11 @@ def without_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
     marked = rows.join(F.broadcast(_bitmaps(ids)), block(own) == F.col("_block"), "left").select(
         *[rows[c] for c in rows.columns], F.coalesce(is_set("_bitmap", bit(own)), F.lit(False)).alias(name)
     )
-    clear, maybe = marked.where(~F.col(name)).drop(name), marked.where(F.col(name)).drop(name)
+    return marked.where(~F.col(name)).drop(name), marked.where(F.col(name)).drop(name)
+
+
+def without_ids(rows: DataFrame, id_col: str, ids: DataFrame) -> DataFrame:
+    """Rows whose id isn't among `ids` (its one column). Rows that the filter rules out don't shuffle."""
+    clear, maybe = split_by_ids(rows, id_col, ids)
     gone = ids.select(F.col(ids.columns[0]).alias("_gone")).distinct()
     return clear.unionByName(maybe.join(gone, maybe[id_col] == gone["_gone"], "left_anti"))

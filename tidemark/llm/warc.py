@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.scratch import new_path
+from tidemark.llm.scratch import new_path, written
 from tidemark.llm.skew import join_groups
 
 #: A file is read into memory whole: at most so many records with payloads of at most so many bytes are in one, 32 MiB
@@ -52,7 +52,7 @@ def resolved(pages: DataFrame, id_col: str, url_col: str, payload_col: str, leas
     """Per row: _id, _url, _payload, _bytes, _digest, _original (its id for a revisit, else null).
 
     Equal payloads of least_bytes or more: the smallest id is the response. The groups with
-    more than one row are broadcast if they are at most BROADCAST_GROUPS; beyond that they are joined by digest, the
+    more than one row are written once for all who read the result, and broadcast if they are at most BROADCAST_GROUPS; beyond that they are joined by digest, the
     largest ones apart.
     """
     payload = F.coalesce(F.col(payload_col), F.lit(""))
@@ -69,7 +69,8 @@ def resolved(pages: DataFrame, id_col: str, url_col: str, payload_col: str, leas
         .agg(F.min("_id").alias("_first"), F.count(F.lit(1)).alias("_n"))
         .where("_n > 1")
     )
-    few = groups.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    groups = written(groups, "warc-groups")
+    few = groups.count() <= BROADCAST_GROUPS
     joined = rows.join(F.broadcast(groups), "_digest", "left") if few else join_groups(rows, groups, "_digest", "_n", "_id")
     revisit = (F.col("_bytes") >= least_bytes) & ~F.col("_id").eqNullSafe(F.col("_first")) & F.col("_n").isNotNull()
     return joined.withColumn("_original", F.when(revisit, F.col("_first"))).drop("_first", "_n")

@@ -234,6 +234,29 @@ def test_pii_long_texts_and_tables(spark):
     assert sizes[0].n == 200_000 and time.time() - began < 120
 
 
+def test_pii_added_spans_of_long_texts(spark):
+    rnd = random.Random(5)
+
+    def one(i):
+        return rnd.choice([
+            f"tel 555-{i % 900 + 100}-4567", f"token={'%032x' % rnd.getrandbits(128)}", f"u{i}@{'%020x' % rnd.getrandbits(80)}.org",
+            f"10.0.{i % 256}.7", f"call 4111 1111 1111 {i % 9000 + 1000}", f"+1 555 {i % 900 + 100} 4567", "plain words", f"{i}-{i + 1}-{i + 2} {i}",
+        ])
+
+    trees, least = model = P.train(spark)
+    texts = [" ".join(one(i) for i in range(n)) for n in (0, 3, P.RUN, 2_500)]
+    df = spark.createDataFrame([*enumerate(texts)], "doc_id long, text string")
+    scores = F.expr(f"transform(found, c -> struct(c.kind, c.start, c.end, {trees.sql([f'c.x.{f}' for f in P.FEATURES])} as p))")
+    proposed = {r.doc_id: r.found for r in df.withColumn("found", P.candidates(F.col("text"))).select("doc_id", scores.alias("found")).collect()}
+    for r in P.find_pii(df, model).collect():
+        base = base_spans(texts[r.doc_id])
+        clear = [c for c in proposed[r.doc_id] if c.p >= float(f"{least:.6g}") and not any(s < c.end and c.start < e for _, s, e in base)]
+        ranked = lambda c: (c.p, -c.start, c.kind)
+        best = [c for c in clear if not any(d.start < c.end and c.start < d.end and ranked(d) > ranked(c) for d in clear)]
+        assert [(s.kind, s.start, s.end) for s in r.added] == sorted((c.kind, c.start, c.end) for c in best)
+        assert len(best) > P.RUN or r.doc_id < 3
+
+
 def test_trees_hold_out():
     import numpy as np
 

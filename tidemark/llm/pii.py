@@ -35,8 +35,8 @@ ADDED = {
 }
 #: Characters of context on either side; the precision that a threshold must reach on the examples.
 CONTEXT, PRECISION = 24, 0.99
-#: Matches whose places are summed up at once.
-RUN = 200
+#: Matches whose places are summed up at once; code points in a piece that context is read from, CONTEXT at least.
+RUN, PIECE = 200, 1024
 
 FEATURES = (
     "chars", "digits", "lower", "upper", "marks", "turns", "hexadecimal", "named_secret",
@@ -109,7 +109,7 @@ def _luhn(digits: Column) -> Column:
 
 
 def _tagged(spans: Column, kind: str, with_features: Column | None = None) -> Column:
-    """The spans as (kind, start, end), and x: their features in the text given."""
+    """The spans as (kind, start, end), and x: their features in the text whose pieces are given."""
 
     def one(s: Column) -> Column:
         fields = [F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end")]
@@ -159,13 +159,17 @@ def _count(text: Column, pattern: str) -> Column:
     return F.length(text) - F.length(F.regexp_replace(text, pattern, ""))
 
 
-def _features(text: Column, s: Column) -> Column:
-    """Format and context of a candidate, as a struct of doubles named after FEATURES."""
+def _features(pieces: Column, s: Column) -> Column:
+    """Format and context of a candidate, as a struct of doubles named after FEATURES; `pieces` are the text's, of PIECE."""
     m = s["match"]
     n = F.length(m)
     low = F.greatest(s["start"] - CONTEXT, F.lit(0))
-    before = F.lower(F.substring(text, low + 1, s["start"] - low))
-    after = F.substring(text, s["end"] + 1, F.lit(1))
+    at = F.floor(s["start"] / PIECE).cast("int")
+    # A place in a long text is found by reading from its beginning, so context comes out of the pieces around.
+    around = F.concat(F.when(at > 0, F.get(pieces, at - 1)).otherwise(""), F.get(pieces, at))
+    before = F.lower(F.substring(around, low + 1 - F.greatest(at - 1, F.lit(0)) * PIECE, s["start"] - low))
+    last = F.floor(s["end"] / PIECE).cast("int")
+    after = F.coalesce(F.substring(F.get(pieces, last), s["end"] + 1 - last * PIECE, F.lit(1)), F.lit(""))
     values = {
         "chars": n,
         "digits": _count(m, "[0-9]") / n,
@@ -185,12 +189,15 @@ def _features(text: Column, s: Column) -> Column:
 
 def candidates(text: Column) -> Column:
     """(kind, start, end, x: features) of all that the generators propose."""
-    parts = []
-    for kind, pattern in ADDED.items():
-        test = r"[A-Za-z0-9_+/=-]{16}" if kind == "secret" else r"[0-9][0-9 ().-]{5,22}[0-9]"
-        found = _when(text, text.rlike(test), _places(text, pattern))
-        parts.append(_tagged(found, kind, text))
-    return F.concat(*parts)
+    tests = {"secret": r"[A-Za-z0-9_+/=-]{16}", "number": r"[0-9][0-9 ().-]{5,22}[0-9]"}
+
+    def of(pieces: Column) -> Column:
+        found = {k: _when(text, text.rlike(tests[k]), _places(text, pattern)) for k, pattern in ADDED.items()}
+        return F.concat(*[_tagged(spans, kind, pieces) for kind, spans in found.items()])
+
+    # One element, so that the pieces are cut once and not for each candidate.
+    pieces = F.regexp_extract_all(text, F.lit(f"(?s).{{1,{PIECE}}}+"), F.lit(0))
+    return F.element_at(F.transform(F.array(pieces), of), 1)
 
 
 def examples(n: int = 900, seed: int = 11) -> list[tuple[str, int]]:
@@ -265,6 +272,25 @@ def train(spark: SparkSession) -> tuple[Boosted, float]:
     return model, max(0.5, threshold(model.probability(x[1::2]), y[1::2], PRECISION))
 
 
+def _runs(spans: str) -> str:
+    """SQL for runs of RUN of the spans, with the least start and the greatest end in each."""
+    cut = f"transform(sequence(0, int((greatest(size({spans}), 1) - 1) div {RUN})), i -> slice({spans}, i * {RUN} + 1, {RUN}))"
+    low = f"coalesce(array_min(transform(r, x -> x.start)), {2**31 - 1})"
+    high = "coalesce(array_max(transform(r, x -> x.end)), 0)"
+    return f"transform({cut}, r -> struct({low} as low, {high} as high, r as spans))"
+
+
+def _beside(spans: str, others: str, test: str, rival: str) -> str:
+    """SQL for the spans c that pass `test` and overlap no span x of the others that is a `rival`. Spans of a kind come
+    sorted, so nearly all runs are passed over by their ends, and a text's spans are never compared pair by pair."""
+    meets = (
+        "exists(runs, r -> r.low < c.end and c.start < r.high"
+        f" and exists(r.spans, x -> x.start < c.end and c.start < x.end and {rival}))"
+    )
+    # One element, so that the runs are made once and not for each span.
+    return f"element_at(transform(array({_runs(others)}), runs -> filter({spans}, c -> {test} and not {meets})), 1)"
+
+
 def find_pii(
     docs: DataFrame,
     model: tuple[Boosted, float],
@@ -284,14 +310,9 @@ def find_pii(
     base = F.concat(*[_tagged(spans, kind) for kind, spans in kinds.items()])
     p = trees.sql([f"c.x.{f}" for f in FEATURES])
     scored = F.expr(f"transform(_proposed, c -> struct(c.kind as kind, c.start as start, c.end as end, {p} as p))")
-    clear = F.expr(
-        f"filter(_scored, c -> c.p >= {least:.6g}D"
-        " and not exists(_base, b -> b.start < c.end and c.start < b.end))"
-    )
-    best = F.expr(
-        "filter(_clear, c -> not exists(_clear, d -> d.start < c.end and c.start < d.end"
-        " and (d.p > c.p or (d.p = c.p and (d.start < c.start or (d.start = c.start and d.kind > c.kind))))))"
-    )
+    clear = F.expr(_beside("_scored", "_base", f"c.p >= {least:.6g}D", "true"))
+    better = "(x.p > c.p or (x.p = c.p and (x.start < c.start or (x.start = c.start and x.kind > c.kind))))"
+    best = F.expr(_beside("_clear", "_clear", "true", better))
     return (
         source.withColumn("_base", base)
         .withColumn("_proposed", candidates(text))

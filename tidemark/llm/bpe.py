@@ -55,6 +55,8 @@ class _Tails(dict):
 class Vocabulary:
     """Tokens, merge ranks and token edges of a word-level BPE with an end-of-word suffix."""
 
+    most_pairs = PAIRS
+
     def __init__(self, model: dict):
         self.end: str = model["end_of_word_suffix"] or ""
         self.ids: dict[str, int] = model["vocab"]
@@ -100,7 +102,7 @@ class Vocabulary:
                 for a, ends_a in self._edge(left, 1)
                 for b, ends_b in self._edge(right, 0)
             )
-            if len(self.pairs) >= PAIRS:
+            if len(self.pairs) >= self.most_pairs:
                 self.pairs.clear()
             self.pairs[pair] = known
         return known
@@ -162,7 +164,7 @@ def encode_words(vocabulary: Vocabulary, words: Iterable[str]) -> Iterator[tuple
 class TrieEncoder:
     """Ids and decoded text of whole texts, as the library gives them for the same file."""
 
-    def __init__(self, tokenizer_file: str):
+    def __init__(self, tokenizer_file: str, times: int = 1):
         from tokenizers import Tokenizer
 
         with open(tokenizer_file, encoding="utf-8") as f:
@@ -170,6 +172,7 @@ class TrieEncoder:
         if spec["model"]["type"] != "BPE" or not spec["model"]["end_of_word_suffix"] or spec["decoder"]:
             raise ValueError("a BPE with an end-of-word suffix and no decoder is needed")
         self.vocabulary = Vocabulary(spec["model"])
+        self.vocabulary.most_pairs = times * PAIRS
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: t for t, i in self.vocabulary.ids.items()}
         names |= {i: t for t, i in self.added.items()}
@@ -180,7 +183,7 @@ class TrieEncoder:
         library = Tokenizer.from_file(tokenizer_file)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         #: Values are the number of tokens, their ids and their names.
-        self.pieces, self.words = Recent(REMEMBERED), Recent(REMEMBERED_WORDS)
+        self.pieces, self.words = Recent(times * REMEMBERED), Recent(times * REMEMBERED_WORDS)
 
     def _value(self, ids: list[int]) -> tuple[int, bytes, bytes]:
         codes, names = self.codes, self.names
@@ -272,9 +275,9 @@ class TrieEncoder:
 
 
 @functools.cache
-def _encoder(tokenizer_file: str) -> TrieEncoder:
+def _encoder(tokenizer_file: str, times: int) -> TrieEncoder:
     """A worker process keeps one, with what it has learnt, from task to task."""
-    return TrieEncoder(tokenizer_file)
+    return TrieEncoder(tokenizer_file, times)
 
 
 def bpe_codes(
@@ -284,19 +287,20 @@ def bpe_codes(
     text_col: str = "text",
     with_ids: bool = False,
     with_decoded: bool = False,
+    times: int = 1,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256; and ids (array<int>) or decoded if wanted.
 
     Null and empty texts have no tokens and decode to the empty text. Repeated rows and null ids come back
     as they are; an empty table gives an empty result; other columns are not read. A worker holds one batch
-    slice and two generations of REMEMBERED pieces.
+    slice and two generations of REMEMBERED pieces; `times` as much where nothing else needs its memory.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_decoded]
 
     def work(batch: pa.RecordBatch) -> pa.RecordBatch:
         claim("bpe", _encoder.cache_clear)
-        encoder = _encoder(tokenizer_file)
+        encoder = _encoder(tokenizer_file, times)
         n, ids_sha, decoded_sha, codes, decoded = [], [], [], [], []
         for count, code, text in encoder.encode(bytes_of(batch, "_text")):
             n.append(count)
@@ -325,4 +329,4 @@ def op1_bpe(spark, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"), times=3)

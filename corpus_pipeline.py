@@ -6,16 +6,28 @@ columns of documents, whatever they are.
 
 from __future__ import annotations
 
+import functools
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import bpe, decontaminate, exact_dedup, near_dedup, quality
 from tidemark.llm.id_filter import without_ids
+from tidemark.llm.pieces import limit_batches
 from tidemark.llm.scratch import written
 
 #: Not expressible in SQL: the stages learn, sketch and tokenize. tests/llm holds brute-force versions.
 ORACLE_SQL = None
 
+#: The stages share executors whose heap the ones before have filled, so less is held outside it than where an operator runs
+#: alone: bytes of an Arrow batch, and what the tokenizer remembers (times bpe's own) and cuts at once.
+BATCH_BYTES = 2 << 20
+TOKENIZER = {"times": 1 / 3, "at_once": 512 << 10}
+
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
 
 def _free(docs: DataFrame, *names: str) -> tuple[str, ...]:
     """The names, lengthened until no column has them."""
@@ -62,15 +74,24 @@ def tokenize(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 and the ids of every document."""
     import public_tokenizers
 
-    return bpe.bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True)
+    return bpe.bpe_codes(docs, public_tokenizers.path("word_bpe_49k.json"), with_ids=True, **TOKENIZER)
+
+
+def _lean(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        limit_batches(spark, BATCH_BYTES)
+        return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 STAGES = [
-    ("quality", keep_good),
-    ("exact_dedup", drop_copies),
-    ("near_dedup", drop_near_copies),
-    ("decontaminate", drop_leaks),
-    ("bpe", tokenize),
+    ("quality", _lean(keep_good)),
+    ("exact_dedup", _lean(drop_copies)),
+    ("near_dedup", _lean(drop_near_copies)),
+    ("decontaminate", _lean(drop_leaks)),
+    ("bpe", _lean(tokenize)),
 ]
 
 

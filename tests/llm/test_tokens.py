@@ -3,6 +3,9 @@
 import hashlib
 import random
 import struct
+import subprocess
+import sys
+from pathlib import Path
 
 import public_tokenizers
 import pytest
@@ -91,3 +94,34 @@ def test_other_white_space_among_many_pieces(library):
     rnd = random.Random(4)
     spaces = "\u00a0\u1680\u2003\u2028\u202f\u205f\u3000\x85\x1c\x1f\u200b\u180e\ufeff"
     check(library, TrieEncoder(FILE), [" ".join(texts), *(" ".join("".join(rnd.choice("ab" + spaces) for _ in range(rnd.randint(1, 4))) for _ in range(30)) for _ in range(300))])
+
+
+def test_memory_of_a_worker_of_the_pipeline():
+    """Megabytes of a process that tokenizes 3 MB of new words as the pipeline's workers do, besides its imports."""
+    program = """if True:
+        import inspect, random, re
+        import pyarrow as pa
+        import corpus_pipeline, public_tokenizers
+        from tidemark.llm import bpe
+        from tidemark.llm.pieces import bytes_of, slices
+
+        def held():
+            with open("/proc/self/status") as f:
+                return int(re.search(r"VmRSS:\\s+(\\d+)", f.read())[1]) / 1024
+
+        before = most = held()
+        given = {"times": 1, "at_once": bpe.AT_ONCE} | getattr(corpus_pipeline, "TOKENIZER", {})
+        encoder = bpe._encoder(public_tokenizers.path("word_bpe_49k.json"), given["times"])
+        rnd = random.Random(3)
+        for _ in range(5):
+            texts = [" ".join("".join(rnd.choices("inthaerso", k=7)) for _ in range(1000)) for _ in range(75)]
+            for part in slices(pa.record_batch([pa.array(texts)], ["text"]), "text", given["at_once"]):
+                for _ in encoder.encode(bytes_of(part, "text")):
+                    most = max(most, held())
+        print(most - before)
+    """
+    if not Path("/proc/self/status").exists():
+        pytest.skip("memory can't be read here")
+    root = Path(__file__).parents[2]
+    out = subprocess.run([sys.executable, "-c", program], cwd=root, capture_output=True, text=True, check=True).stdout
+    assert float(out) < 175

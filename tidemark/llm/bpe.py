@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm.caches import Recent, claim
+from tidemark.llm.caches import Recent, claim, give_back
 from tidemark.llm.pieces import bytes_of, per_text, small_batches
 
 #: Pieces and words in a generation of what a worker remembers (there are two), and pairs of tokens whose
@@ -164,7 +164,7 @@ def encode_words(vocabulary: Vocabulary, words: Iterable[str]) -> Iterator[tuple
 class TrieEncoder:
     """Ids and decoded text of whole texts, as the library gives them for the same file."""
 
-    def __init__(self, tokenizer_file: str, times: int = 1):
+    def __init__(self, tokenizer_file: str, times: float = 1):
         from tokenizers import Tokenizer
 
         with open(tokenizer_file, encoding="utf-8") as f:
@@ -172,7 +172,7 @@ class TrieEncoder:
         if spec["model"]["type"] != "BPE" or not spec["model"]["end_of_word_suffix"] or spec["decoder"]:
             raise ValueError("a BPE with an end-of-word suffix and no decoder is needed")
         self.vocabulary = Vocabulary(spec["model"])
-        self.vocabulary.most_pairs = times * PAIRS
+        self.vocabulary.most_pairs = int(times * PAIRS)
         self.added = {t["content"]: t["id"] for t in spec["added_tokens"]}
         names = {i: t for t, i in self.vocabulary.ids.items()}
         names |= {i: t for t, i in self.added.items()}
@@ -183,7 +183,7 @@ class TrieEncoder:
         library = Tokenizer.from_file(tokenizer_file)
         self.normalizer, self.pre_tokenizer = library.normalizer, library.pre_tokenizer
         #: Values are the number of tokens, their ids and their names.
-        self.pieces, self.words = Recent(times * REMEMBERED), Recent(times * REMEMBERED_WORDS)
+        self.pieces, self.words = Recent(int(times * REMEMBERED)), Recent(int(times * REMEMBERED_WORDS))
 
     def _value(self, ids: list[int]) -> tuple[int, bytes, bytes]:
         codes, names = self.codes, self.names
@@ -275,9 +275,11 @@ class TrieEncoder:
 
 
 @functools.cache
-def _encoder(tokenizer_file: str, times: int) -> TrieEncoder:
+def _encoder(tokenizer_file: str, times: float) -> TrieEncoder:
     """A worker process keeps one, with what it has learnt, from task to task."""
-    return TrieEncoder(tokenizer_file, times)
+    encoder = TrieEncoder(tokenizer_file, times)
+    give_back()  # some 40 MB of the parsed file
+    return encoder
 
 
 def bpe_codes(
@@ -287,13 +289,15 @@ def bpe_codes(
     text_col: str = "text",
     with_ids: bool = False,
     with_decoded: bool = False,
-    times: int = 1,
+    times: float = 1,
+    at_once: int = AT_ONCE,
 ) -> DataFrame:
     """Per row: id, n_tokens, ids_sha256, decoded_sha256; and ids (array<int>) or decoded if wanted.
 
     Null and empty texts have no tokens and decode to the empty text. Repeated rows and null ids come back
     as they are; an empty table gives an empty result; other columns are not read. A worker holds one batch
-    slice and two generations of REMEMBERED pieces; `times` as much where nothing else needs its memory.
+    slice, of at_once bytes, and two generations of REMEMBERED pieces; `times` as many, more where nothing else needs
+    its memory and less where much does. Neither changes the result.
     """
     kind = docs.schema[id_col].dataType.simpleString()
     names = [id_col, "n_tokens", "ids_sha256", "decoded_sha256", *["ids"] * with_ids, *["decoded"] * with_decoded]
@@ -322,7 +326,7 @@ def bpe_codes(
     source = docs.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
     schema = f"`{id_col}` {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string"
     schema += ", ids array<int>" * with_ids + ", decoded string" * with_decoded
-    return small_batches(source).mapInArrow(per_text("_text", work, AT_ONCE), schema)
+    return small_batches(source).mapInArrow(per_text("_text", work, at_once), schema)
 
 
 def op1_bpe(spark, sf_dir: str) -> DataFrame:

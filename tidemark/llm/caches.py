@@ -56,10 +56,15 @@ def claim(name: str, clear: Callable[[], object]) -> None:
     for other, forget in _clear.items():
         if other != name:
             forget()
+    give_back()
+    _owner[0] = name
+
+
+def give_back() -> None:
+    """Return to the system what was freed."""
     gc.collect()
     pa.default_memory_pool().release_unused()
-    if sys.platform == "linux":  # give what was freed back to the system
+    if sys.platform == "linux":
         trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
         if trim:
             trim(0)
-    _owner[0] = name

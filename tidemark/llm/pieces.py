@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 #: An Arrow batch is worked on in slices of at most so many text bytes, one row at least.
 SLICE_BYTES = 8 << 20
@@ -14,12 +14,16 @@ BATCH_BYTES = 8 << 20
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+def limit_batches(spark: SparkSession, most: int = BATCH_BYTES) -> None:
+    """The session sends Arrow batches of at most so many bytes from now on, or of less where so set."""
+    now = spark.conf.get(_BATCH_BYTES)  # as Spark writes it: 256MB, 8388608b, 64k
+    if not (now.rstrip("b").isdigit() and 0 < int(now.rstrip("b")) <= most):
+        spark.conf.set(_BATCH_BYTES, str(most))
+
+
 def small_batches(df: DataFrame) -> DataFrame:
-    """The same frame; its session sends Arrow batches of at most BATCH_BYTES from now on, or of less where so set."""
-    conf = df.sparkSession.conf
-    now = conf.get(_BATCH_BYTES)  # as Spark writes it: 256MB, 8388608b, 64k
-    if not (now.rstrip("b").isdigit() and 0 < int(now.rstrip("b")) <= BATCH_BYTES):
-        conf.set(_BATCH_BYTES, str(BATCH_BYTES))
+    """The same frame, in batches of at most BATCH_BYTES."""
+    limit_batches(df.sparkSession)
     return df
 
 
